@@ -25,6 +25,9 @@ APPROVED_RULE = (
     "Cada pedido pode ter no maximo um pagamento com status aprovado — "
     "mantido o registro com updated_at mais recente"
 )
+# source-side document rules that go beyond presence, type and domain
+DOCUMENT_RANGES = {"nota": (1, 5), "parcelas": (1, 12)}
+DOCUMENT_LENGTHS = {"estado": (2, 2)}
 WATERMARK = "updated_at"
 OVERLAP_HOURS = 24
 BEGIN_OF_TIME = "1900-01-01 00:00:00"

@@ -89,3 +89,19 @@ def encode(df: DataFrame, entity: Entity, document: str = "raw_document") -> Dat
     rest = [c for c in df.columns if c not in entity.columns]
     body = F.struct(*(wrap(df, f) for f in entity.fields))
     return df.select(*rest, F.to_json(body, {"ignoreNullFields": "false"}).alias(document))
+
+
+def shape(document: Column, name: str) -> Column:
+    """The JSON shape of a field: VOID for null, SQL null where the field is absent."""
+    return F.schema_of_variant(F.try_variant_get(document, f"$.{name}", "variant"))
+
+
+def allowed_shapes(field: Field) -> list[str]:
+    if field.wire == "date":
+        shapes = [f"OBJECT<{DATE_WRAPPER}: OBJECT<{DATE_MILLIS}: STRING>>"]
+    elif field.wire in ("integer", "number"):
+        kinds = NUMBER_WRAPPERS if field.wire == "number" else NUMBER_WRAPPERS[:2]
+        shapes = [f"OBJECT<{w}: STRING>" for w in kinds]
+    else:
+        shapes = [field.wire.upper()]
+    return shapes if field.required else [*shapes, "VOID"]

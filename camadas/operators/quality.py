@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from camadas.contracts import Entity, Field, Reference, Unique
+from camadas.entities import DOCUMENT_LENGTHS, DOCUMENT_RANGES
+from camadas.functions.extjson import NUMBER_WRAPPERS, allowed_shapes, shape
 from camadas.functions.keys import spread_nulls
+from camadas.functions.text import to_number
 
 STATUSES = ("field", "business", "referential", "valid")
 
@@ -71,6 +74,42 @@ def violation_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return counts.select(F.inline(pairs), "checked").select("rule", "broken", "checked")
 
 
+def document_checks(entity: Entity, document: Column) -> dict[str, Column]:
+    """The source-side document contract: presence, JSON shape, domain, range and length.
+
+    ``document`` is the parsed (variant) document; an absent optional field breaks nothing.
+    """
+    checks: dict[str, Column] = {}
+    for f in entity.fields:
+        kind = shape(document, f.name)
+        if f.required:
+            checks[f"{f.name}:required"] = kind.isNull()
+        if f.one_of:
+            value = F.try_variant_get(document, f"$.{f.name}", "string")
+            inside = F.coalesce(value.isin(*f.one_of), F.lit(False))
+            checks[f"{f.name}:domain"] = kind.isNotNull() & ~inside
+        else:
+            checks[f"{f.name}:type"] = kind.isNotNull() & ~kind.isin(*allowed_shapes(f))
+        if f.name in DOCUMENT_RANGES:
+            low, high = DOCUMENT_RANGES[f.name]
+            texts = (
+                F.try_variant_get(document, f"$.{f.name}['{w}']", "string")
+                for w in NUMBER_WRAPPERS
+            )
+            number = to_number(F.coalesce(*texts), "bigint")
+            checks[f"{f.name}:range"] = number.isNotNull() & ~number.between(low, high)
+        if f.name in DOCUMENT_LENGTHS:
+            low, high = DOCUMENT_LENGTHS[f.name]
+            size = F.length(F.try_variant_get(document, f"$.{f.name}", "string"))
+            checks[f"{f.name}:length"] = (kind == "STRING") & ~size.between(low, high)
+    return {n: F.coalesce(c, F.lit(False)) for n, c in checks.items()}
+
+
+def document_report(raw: DataFrame, entity: Entity, document: str = "raw_document") -> DataFrame:
+    parsed = raw.select(F.try_parse_json(F.col(document)).alias("_doc"))
+    return violation_counts(parsed, document_checks(entity, F.col("_doc")))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of copies."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
