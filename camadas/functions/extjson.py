@@ -98,10 +98,10 @@ def shape(document: Column, name: str) -> Column:
 
 def allowed_shapes(field: Field) -> list[str]:
     if field.wire == "date":
-        shapes = [f"OBJECT<{DATE_WRAPPER}: OBJECT<{DATE_MILLIS}: STRING>>"]
+        shapes = [f"OBJECT<`{DATE_WRAPPER}`: OBJECT<`{DATE_MILLIS}`: STRING>>"]
     elif field.wire in ("integer", "number"):
         kinds = NUMBER_WRAPPERS if field.wire == "number" else NUMBER_WRAPPERS[:2]
-        shapes = [f"OBJECT<{w}: STRING>" for w in kinds]
+        shapes = [f"OBJECT<`{w}`: STRING>" for w in kinds]
     else:
         shapes = [field.wire.upper()]
     return shapes if field.required else [*shapes, "VOID"]

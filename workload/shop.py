@@ -215,7 +215,7 @@ def _dialect(text: str, engine: str) -> str:
 
 
 def _inputs(text: str) -> list[str]:
-    return sorted(set(re.findall(r"{(\w+)}", text)))
+    return sorted(set(re.findall(r"{(\w+)}", text.replace("{{", "").replace("}}", ""))))
 
 
 class Shop:
@@ -257,4 +257,6 @@ def with_shop(sql: str) -> str:
 
 
 def _plain(sql: str) -> str:
-    return re.sub(r"{(\w+)}", r"\1", sql)
+    """Names for placeholders; a doubled brace is a literal one."""
+    text = sql.replace("{{", "\x01").replace("}}", "\x02")
+    return re.sub(r"{(\w+)}", r"\1", text).replace("\x01", "{").replace("\x02", "}")
