@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from camadas.sources.tables import exists
+
 # Lineage columns of the raw table and the path parts they come from.
 SOURCE_FILE = "_bronze_source_file"
 EXTRACTION_DATE = "_bronze_extraction_date"
@@ -22,13 +23,10 @@ FILE_GLOB = "*.json"
 
 def landing_files(spark: SparkSession, folder: str) -> DataFrame | None:
     """Paths of all landing files, from the listing alone; None where the folder does not exist."""
+    if not exists(spark, folder):
+        return None
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        found = reader.option("pathGlobFilter", FILE_GLOB).load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    found = reader.option("pathGlobFilter", FILE_GLOB).load(folder)
     return found.select(F.col("path").alias(SOURCE_FILE))
 
 

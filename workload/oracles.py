@@ -498,4 +498,36 @@ select id_pedido, {_PATH} as arquivo from {{pedidos}} where id_pedido % 7 % 2 =
 _SQL["ingest_counts"] = f"""
 select count(*) as rows_written, count(distinct {_PATH}) as source_files from {{pedidos}}"""
 
+_SQL["bronze_scan"] = _SQL["ext_json_encode"]
+_SQL["bronze_ingest"] = """
+select *, date '2002-01-01' as dia_extracao,
+  case when id_pedido % 3 <> 0 then 'r1' else 'r2' end as execucao,
+  case when id_pedido % 3 <> 0 then 'c1' else 'c2' end as carga
+from {pedidos}"""
+_SQL["stream_ingest"] = _SQL["bronze_ingest"]
+_SQL["csv_typed_scan"] = """
+select id_pedido, id_cliente, cast(data_pedido as timestamp) as data_pedido, status,
+  cast(valor_total as double) as valor_total, id_cupom, updated_at from {pedidos}"""
+
+
+def _draw(name: str, low: int, high: int) -> str:
+    return f"(hash60(concat_ws('|', '42', '{name}', cast(id as varchar))) % {high - low + 1} + {low})"
+
+
+def _dice(name: str, values: dict[str, int]) -> str:
+    cases = " ".join(f"when {_draw(name, 0, 99)} < {limit} then '{v}'" for v, limit in values.items())
+    return f"case {cases} end"
+
+
+_DAY = f"date '2023-01-01' + cast({_draw('order_day', 0, 1257)} as int)"
+_SQL["synthetic_orders"] = f"""
+select id as id_pedido, {_draw('customer', 1, 1000)} as id_cliente, {_DAY} as data_pedido,
+  {_dice('status', {'pendente': 5, 'processando': 15, 'enviado': 30, 'entregue': 85,
+                    'cancelado': 100})} as status,
+  cast(cast({_draw('total', 2000, 300000)} as decimal(18,2)) / 100 as decimal(18,2)) as valor_total,
+  case when {_draw('has_coupon', 0, 99)} < 25 then {_draw('coupon', 1, 50)} end as id_cupom,
+  cast({_DAY} + cast({_draw('updated_at', 0, 1 << 40)}
+    % (greatest(date '2026-06-11' - ({_DAY}), 1) + 1) as int) as timestamp) as updated_at
+from (select o_orderkey + 1 as id from {{orders}}) as o"""
+
 ORACLES: dict[str, str] = {name: with_shop(sql) for name, sql in _SQL.items()}

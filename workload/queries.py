@@ -8,22 +8,24 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camadas.contracts import Reference
 from camadas.entities import ENTITIES, MODELS
 from camadas.functions.extjson import NUMBER_WRAPPERS, date_value, decode, encode, number_value
 from camadas.functions.keys import day_key, dedup_key, digest, surrogate_key
 from camadas.functions.text import cell, clean
 from camadas.operators import audit, history, quality, upsert
 from camadas.operators.dedup import first_per_key, newest_first
+from camadas.plans import bronze as bronze_plan
 from camadas.plans import marts, star
-from camadas.session import apply_settings, materialize
-from camadas.sources import bronze, landing
+from camadas.session import apply_settings, materialize, scratch_dir
+from camadas.sources import bronze, csv_files, landing, synthetic
+from camadas.streaming.ingest import ingest_available
 from workload.shop import Shop
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-CHANGE = F.lit("2002-01-01 00:00:00").cast("timestamp")
+CHANGE = "2002-01-01 00:00:00"
+EVENT_CHANGE = "1998-06-15 00:00:00"
 FLAT_ORDER = ("updated_at", "origem")
 
 
@@ -405,24 +407,16 @@ def quality_log(s):
         hashed = assessed.withColumn("_hash", digest(rule.columns))
         log.append(
             quality.quality_log(
-                hashed, rule, "run", CHANGE, "_hash", ("field", "business", "referential")
+                hashed, rule, "run", F.current_timestamp(), "_hash", ("field", "business", "referential")
             ).select("tabela", "chave_primaria", "tipo_rejeicao", "detalhe")
         )
     return log[0].unionByName(log[1])
 
 
 def _accounting(s):
-    rows = []
-    for name, assessed in (("clientes", _assessed_customers(s)), ("pedidos", _assessed_orders(s))):
-        read = s[f"{name}_brutos"].agg(F.count(F.lit(1)).alias("records_read"))
-        counted = audit.status_counts(assessed).withColumn("table", F.lit(name))
-        tagged = read.withColumn("table", F.lit(name))
-        rows.append(
-            tagged.join(counted, "table").withColumn(
-                "duplicates_removed", F.expr("records_read - records_deduplicated")
-            )
-        )
-    return rows[0].unionByName(rows[1])
+    customers = audit.account(s["clientes_brutos"], _assessed_customers(s), "clientes")
+    orders = audit.account(s["pedidos_brutos"], _assessed_orders(s), "pedidos")
+    return customers.unionByName(orders)
 
 
 @query
@@ -432,8 +426,8 @@ def quality_accounting(s):
 
 @query
 def run_manifest(s):
-    counters = [c for c in audit.SILVER_COUNTERS if c in _accounting(s).columns]
-    return audit.totals(_accounting(s), counters)
+    accounts = _accounting(s)
+    return audit.totals(accounts, [c for c in audit.SILVER_COUNTERS if c in accounts.columns])
 
 
 # --- merges and history -----------------------------------------------------------------------------
@@ -496,7 +490,7 @@ def _customer_versions(s, name):
 def _customer_history(s):
     first = history.first_versions(_customer_versions(s, "clientes"), "cliente_key", "cliente_sk")
     second = _customer_versions(s, "clientes_depois")
-    return history.apply_versions(first, second, "cliente_key", "cliente_sk", CHANGE)
+    return history.apply_versions(first, second, "cliente_key", "cliente_sk", F.to_timestamp(F.lit(CHANGE)))
 
 
 @query
@@ -514,8 +508,6 @@ def scd2_metrics(s):
     return history.version_counts(history.version_actions(first, second, "cliente_key"))
 
 
-EVENT_CHANGE = F.lit("1998-06-15 00:00:00").cast("timestamp")
-
 
 def _two_versions(s, model):
     """Every third key of a dimension has a second version since the change instant."""
@@ -525,7 +517,7 @@ def _two_versions(s, model):
     changed = base.filter(F.col(rule.natural_key) % 3 == 0).withColumn(
         history.VERSION_HASH, F.reverse(history.VERSION_HASH)
     )
-    return history.apply_versions(first, changed, rule.natural_key, rule.key, EVENT_CHANGE)
+    return history.apply_versions(first, changed, rule.natural_key, rule.key, F.to_timestamp(F.lit(EVENT_CHANGE)))
 
 
 @query
@@ -602,3 +594,70 @@ def ingest_counts(s):
         F.count(F.lit(1)).alias("rows_written"),
         F.count_distinct(bronze.SOURCE_FILE).alias("source_files"),
     )
+
+
+# --- file based sources and sinks: the whole tables are written out and read back -------------------
+
+RUN_AT = datetime(2002, 1, 1, 6, tzinfo=timezone.utc)
+
+
+def _land(s, root, run_id, source, table, where):
+    """Write part of a table as one landing batch."""
+    folder = landing.batch_folder(root, "shop", table, RUN_AT.date(), run_id)
+    landing.write_batch(s[source].filter(where), ENTITIES[table], folder)
+
+
+def _decode_bronze(rows, table):
+    lineage = [bronze.EXTRACTION_DATE, bronze.LANDING_RUN, bronze.PIPELINE_RUN]
+    named = rows.select("raw_document", *lineage).withColumnsRenamed(
+        dict(zip(lineage, ("dia_extracao", "execucao", "carga")))
+    )
+    return decode(named, ENTITIES[table]).drop("raw_document")
+
+
+@query
+def bronze_scan(s):
+    """All orders written as JSON lines and scanned back as undecoded lines."""
+    root = scratch_dir(s.spark, "scan")
+    _land(s, root, "r1", "pedidos", "pedidos", "true")
+    return bronze.scan(s.spark, f"{root}/landing/shop/pedidos").select("raw_document")
+
+
+@query
+def bronze_ingest(s):
+    """Two batches and three runs: the second run sees one new batch, the third run none."""
+    root = scratch_dir(s.spark, "bronze")
+    _land(s, root, "r1", "pedidos", "pedidos", "id_pedido % 3 <> 0")
+    bronze_plan.ingest(s.spark, root, "shop", "pedidos", "c1", RUN_AT, RUN_AT)
+    _land(s, root, "r2", "pedidos", "pedidos", "id_pedido % 3 = 0")
+    for run in ("c2", "c3"):
+        bronze_plan.ingest(s.spark, root, "shop", "pedidos", run, RUN_AT, RUN_AT)
+    return _decode_bronze(s.spark.read.parquet(f"{root}/bronze/shop/pedidos"), "pedidos")
+
+
+@query
+def stream_ingest(s):
+    """The same two batches through the streaming file source, in two runs of one checkpoint."""
+    root = scratch_dir(s.spark, "stream")
+    table = f"{root}/bronze/shop/pedidos"
+    for batch, rest in (("r1", "id_pedido % 3 <> 0"), ("r2", "id_pedido % 3 = 0")):
+        _land(s, root, batch, "pedidos", "pedidos", rest)
+        ingest_available(
+            s.spark, f"{root}/landing/shop/pedidos", table, f"{root}/checkpoint",
+            batch.replace("r", "c"), RUN_AT, RUN_AT,
+        ).awaitTermination()
+    return _decode_bronze(s.spark.read.parquet(table), "pedidos")
+
+
+@query
+def csv_typed_scan(s):
+    root = scratch_dir(s.spark, "csv")
+    csv_files.write(s["pedidos"].select(*ENTITIES["pedidos"].columns), f"{root}/pedidos.csv")
+    return csv_files.read_typed(s.spark, f"{root}/pedidos.csv", ENTITIES["pedidos"])
+
+
+@query
+def synthetic_orders(s):
+    """A synthetic order for every order id of the tables."""
+    ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
+    return synthetic.orders(ids, customers=1000, coupons=50)

@@ -248,7 +248,7 @@ def with_shop(sql: str) -> str:
     for name in _inputs(sql):
         visit(name)
     ctes = ", ".join(f"{n} as ({_plain(_dialect(SHOP[n], 'duckdb'))})" for n in needed)
-    body = _plain(sql).strip()
+    body = _plain(_dialect(sql, "duckdb")).strip()
     if not ctes:
         return body
     if body.lower().startswith("with "):
