@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(work: Callable, items: Iterable, at_once: int = 4) -> list:
+    """Submit independent tables together, so one table's last tasks do not idle the cluster.
+
+    Results keep the order of the items; the first failure is raised after the others have ended.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [f.result() for f in [pool.submit(work, i) for i in items]]
