@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block; the table is removed afterwards."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def side_by_side(work: Callable, items: Iterable, at_once: int = 4) -> list:
     """Submit independent tables together, so one table's last tasks do not idle the cluster.
 

@@ -147,6 +147,37 @@ def test_fact_rows_follow_their_source(lake, spark):
         build(spark, lake.root, "shop", model, {**silver, "pedidos": gone.limit(0)}, "x", DAY)
 
 
+def test_merge_by_key_ranges(spark, lake, tmp_path):
+    """With key ranges the state is the same, and only ranges with a changed key are rewritten."""
+    root, name = str(tmp_path), "categorias"
+    rows = spark.range(1, 1001).selectExpr(
+        "id as id_categoria", "concat('n', id) as nome_categoria", "'d' as descricao",
+        "timestamp '2001-01-01' as updated_at")
+    changed = rows.filter("id_categoria in (150, 160)").withColumn(
+        "updated_at", F.expr("timestamp '2001-02-01'"))
+    added = rows.filter("id_categoria = 1").withColumn("id_categoria", F.lit(2000).cast("bigint"))
+    for i, batch in enumerate((rows, changed.unionByName(added), None), 1):
+        at = DAY + dt.timedelta(days=i)
+        if batch is not None:
+            landing.extract({name: batch}, ENTITIES, root, "shop", f"r{i}", at, {})
+        run_bronze(spark, root, "shop", f"r{i}", at, at, name)
+        got = run_silver(spark, root, "shop", f"r{i}", at, at, name, key_span=100)[0]
+        if i == 2:
+            assert (got["inserted"], got["updated"], got["unchanged"]) == (1, 2, 998)
+    assert got["status"] == "already_current"
+    base = f"{root}/silver/shop/{name}/data"
+    assert [d for d in sorted(os.listdir(f"{base}/v=2")) if "=" in d] == [
+        "_silver_key_span=1", "_silver_key_span=20"]
+    state = read_silver(spark, root, "shop", name, key_span=100)
+    assert state.count() == 1001 and state.filter("updated_at > '2001-01-15'").count() == 2
+    assert "_silver_key_span" not in state.columns
+
+
+def test_scratch_tables_are_removed(spark, lake):
+    left = [d for d in os.listdir(spark.conf.get("spark.checkpoint.dir")) if d.startswith(("judged", "model"))]
+    assert left == []
+
+
 def test_missing_landing_folder(spark, tmp_path):
     got = run_bronze(spark, str(tmp_path), "shop", "r", DAY, DAY, "cupons")
     assert got[0]["status"] == "no_landing_files"

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from camadas.entities import ENTITIES, MODELS
 from camadas.functions.extjson import NUMBER_WRAPPERS, date_value, decode, encode, number_value
-from camadas.functions.keys import day_key, dedup_key, digest, surrogate_key
+from camadas.functions.keys import day_key, digest, surrogate_key
 from camadas.functions.text import cell, clean
 from camadas.operators import audit, history, quality, upsert
-from camadas.operators.dedup import first_per_key, newest_first
 from camadas.plans import bronze as bronze_plan
-from camadas.plans import marts, star
+from camadas.plans import marts, silver, star
 from camadas.session import apply_settings, materialize, scratch_dir
 from camadas.sources import bronze, csv_files, landing, synthetic
 from camadas.streaming.ingest import ingest_available
@@ -26,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 CHANGE = "2002-01-01 00:00:00"
 EVENT_CHANGE = "1998-06-15 00:00:00"
-FLAT_ORDER = ("updated_at", "origem")
+RUN_AT = datetime(2002, 1, 1, 6, tzinfo=timezone.utc)
 
 
 def query(fn: Callable[[Shop], DataFrame]) -> Query:
@@ -212,14 +211,13 @@ def _decoded(s: Shop, table: str, source: str) -> DataFrame:
 
 
 def _candidates(s: Shop, table: str, source: str) -> DataFrame:
-    """Decoded documents, the newest one per key; the document itself settles equal versions."""
-    rule = ENTITIES[table]
-    keyed = _decoded(s, table, source).withColumn(
-        "_key", dedup_key(F.col(rule.key), F.col("raw_document"))
+    """The newest version of every key, by the curated layer's own rule; ``origem`` is the file."""
+    raw = _raw(s, table, source)
+    origin = F.col("origem") if "origem" in raw.columns else F.lit("a")
+    lines = raw.select(
+        "raw_document", origin.alias(bronze.SOURCE_FILE), F.lit(RUN_AT).alias(bronze.INGESTED_AT)
     )
-    order = [c for c in FLAT_ORDER if c in keyed.columns]
-    newest = first_per_key(keyed, ["_key"], newest_first(*order, "raw_document"))
-    return newest.drop("_key", "raw_document")
+    return silver.candidates(lines, ENTITIES[table], "run", RUN_AT)
 
 
 @query
@@ -315,13 +313,16 @@ def surrogate_keys(s):
 
 @query
 def dedup_latest(s):
-    return _candidates(s, "pedidos", "pedidos_brutos")
+    return _candidates(s, "pedidos", "pedidos_brutos").select(
+        *ENTITIES["pedidos"].columns, F.col(silver.SOURCE_FILE).alias("origem")
+    )
 
 
 @query
 def quality_filter(s):
     rule = ENTITIES["clientes"]
-    return _candidates(s, "clientes", "clientes_brutos").filter(quality.is_valid(rule))
+    valid = _candidates(s, "clientes", "clientes_brutos").filter(quality.is_valid(rule))
+    return valid.select(*rule.columns)
 
 
 @query
@@ -385,12 +386,12 @@ def unique_rule_rejected(s):
 def _assessed_orders(s):
     parents = {"clientes": s["clientes_parciais"], "cupons": s["cupons_parciais"]}
     candidates = _candidates(s, "pedidos", "pedidos_brutos")
-    return quality.assess(candidates, ENTITIES["pedidos"], parents, FLAT_ORDER)
+    return quality.assess(candidates, ENTITIES["pedidos"], parents, silver.NEWEST)
 
 
 def _assessed_customers(s):
     candidates = _candidates(s, "clientes", "clientes_brutos")
-    return quality.assess(candidates, ENTITIES["clientes"], {}, ["updated_at"])
+    return quality.assess(candidates, ENTITIES["clientes"], {}, silver.NEWEST)
 
 
 @query
@@ -404,12 +405,11 @@ def quality_log(s):
     log = []
     for assessed, name in ((_assessed_orders(s), "pedidos"), (_assessed_customers(s), "clientes")):
         rule = ENTITIES[name]
-        hashed = assessed.withColumn("_hash", digest(rule.columns))
-        log.append(
-            quality.quality_log(
-                hashed, rule, "run", F.current_timestamp(), "_hash", ("field", "business", "referential")
-            ).select("tabela", "chave_primaria", "tipo_rejeicao", "detalhe")
+        classes = ("field", "business", "referential")
+        entries = quality.quality_log(
+            assessed, rule, "run", F.lit(RUN_AT), silver.RECORD_HASH, classes
         )
+        log.append(entries.select("tabela", "chave_primaria", "tipo_rejeicao", "detalhe"))
     return log[0].unionByName(log[1])
 
 
@@ -598,8 +598,6 @@ def ingest_counts(s):
 
 # --- file based sources and sinks: the whole tables are written out and read back -------------------
 
-RUN_AT = datetime(2002, 1, 1, 6, tzinfo=timezone.utc)
-
 
 def _land(s, root, run_id, source, table, where):
     """Write part of a table as one landing batch."""

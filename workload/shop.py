@@ -2,7 +2,8 @@
 
 ``SHOP`` maps an entity to (inputs, SELECT); an input is a test table or another entity and appears
 in the text as ``{name}``. Row ids that the tables lack are hashes of the row's content, so no
-global numbering is needed; ``hash60('text')`` stands for the first 60 bits of md5.
+global numbering is needed. ``hash60(text)`` (the first 60 bits of md5), ``explode_to(condition)``
+(0, and 1 where it holds) and ``day_number(date)`` are spelled differently by the two engines.
 """
 
 from __future__ import annotations
@@ -14,15 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _LINE = (
-    "concat_ws('|', cast(l_orderkey as string), cast(l_linenumber as string),"
-    " cast(l_partkey as string), cast(l_suppkey as string),"
-    " cast(cast(l_quantity as bigint) as string),"
-    " cast(cast(l_extendedprice as decimal(18,2)) as string),"
-    " cast(cast(l_discount as decimal(6,2)) as string),"
-    " cast(cast(l_tax as decimal(6,2)) as string), l_returnflag, l_linestatus,"
-    " cast(cast(l_shipdate as date) as string))"
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_quantity as bigint)",
+    "cast(floor(l_extendedprice * 100 + 0.5) as bigint)", "cast(floor(l_discount * 100 + 0.5) as bigint)",
+    "cast(floor(l_tax * 100 + 0.5) as bigint)", "ascii(l_returnflag)", "ascii(l_linestatus)",
+    "day_number(l_shipdate)",
 )
 
+
+def _line_id() -> str:
+    """62 bits from all columns of a line: two sums of products, modulo two primes."""
+
+    def residue(base: int, prime: int) -> str:
+        terms = (
+            f"cast({x} as bigint) % {prime} * {pow(base, i, prime)} % {prime}"
+            for i, x in enumerate(_LINE, 1)
+        )
+        return f"(({' + '.join(terms)}) % {prime})"
+
+    high, low = residue(1103515245, 2147483647), residue(1220703125, 2147483629)
+    return f"({high} * 2147483648 + {low} + 1)"
+
+
 SHOP: dict[str, str] = {
     "clientes": """
         select c_custkey + 1 as id_cliente, c_name as nome,
@@ -75,7 +88,7 @@ SHOP: dict[str, str] = {
           cast(o_orderdate as timestamp) as updated_at
         from {orders}""",
     "itens_pedido": f"""
-        select hash60({_LINE}) as id_item, l_orderkey + 1 as id_pedido, l_partkey + 1 as id_produto,
+        select {_line_id()} as id_item, l_orderkey + 1 as id_pedido, l_partkey + 1 as id_produto,
           cast(l_quantity as bigint) as quantidade,
           cast(p_retailprice as decimal(18,2)) as valor_unitario,
           cast(l_discount * 100 as decimal(5,2)) as desconto_percentual,
@@ -196,6 +209,12 @@ _COPIES = {
 }
 
 
+_DAY_NUMBER = {
+    "spark": "unix_date(cast({0} as date))",
+    "duckdb": "(cast({0} as date) - date '1970-01-01')",
+}
+
+
 def _call(text: str, name: str, template: str) -> str:
     """Replace ``name(arg)`` by the dialect's form; arguments may hold nested parentheses."""
     while (start := text.find(name + "(")) >= 0:
@@ -211,7 +230,9 @@ def _call(text: str, name: str, template: str) -> str:
 
 
 def _dialect(text: str, engine: str) -> str:
-    return _call(_call(text, "hash60", _HASH[engine]), "explode_to", _COPIES[engine])
+    for name, forms in (("hash60", _HASH), ("explode_to", _COPIES), ("day_number", _DAY_NUMBER)):
+        text = _call(text, name, forms[engine])
+    return text
 
 
 def _inputs(text: str) -> list[str]:
