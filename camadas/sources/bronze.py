@@ -7,8 +7,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camadas.sources.tables import exists
-
 # Lineage columns of the raw table and the path parts they come from.
 SOURCE_FILE = "_bronze_source_file"
 EXTRACTION_DATE = "_bronze_extraction_date"
@@ -18,13 +16,12 @@ INGESTED_AT = "_bronze_ingested_at"
 PARTITION = "ingestion_date"
 EXTRACTION_DATE_IN_PATH = r"/extraction_date=([^/]+)/"
 RUN_ID_IN_PATH = r"/run_id=([^/]+)/"
+FOLDER_IN_PATH = r"^(.*)/[^/]+$"
 FILE_GLOB = "*.json"
 
 
-def landing_files(spark: SparkSession, folder: str) -> DataFrame | None:
-    """Paths of all landing files, from the listing alone; None where the folder does not exist."""
-    if not exists(spark, folder):
-        return None
+def landing_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of all landing files, from the listing alone: no file is opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     found = reader.option("pathGlobFilter", FILE_GLOB).load(folder)
     return found.select(F.col("path").alias(SOURCE_FILE))

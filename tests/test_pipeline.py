@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from camadas.entities import ENTITIES, MODELS
 from camadas.plans.bronze import run_bronze
 from camadas.plans.export import export_star
+from camadas.plans.extract import load_checkpoints, run_extract
 from camadas.plans.gold import build, gold_table, run_gold
 from camadas.plans.silver import read_silver, run_silver
 from camadas.sources import csv_files, landing
@@ -178,6 +179,35 @@ def test_scratch_tables_are_removed(spark, lake):
     assert left == []
 
 
+def test_checkpoints_move_last(spark, lake, tmp_path):
+    root, name = str(tmp_path), "categorias"
+    src = {name: lake.shop[name]}
+    first = run_extract(spark, src, root, "shop", "a", DAY)
+    assert first[0]["document_count"] == 6
+    mark = load_checkpoints(spark, root, "shop")
+    assert mark == {name: dt.datetime(1995, 1, 1, tzinfo=UTC)}
+    broken = {name: lake.shop[name].withColumn("descricao", F.raise_error(F.lit("lost")))}
+    with pytest.raises(Exception, match="lost"):
+        run_extract(spark, broken, root, "shop", "b", DAY)
+    assert load_checkpoints(spark, root, "shop") == mark
+    old = {name: lake.shop[name].withColumn("updated_at", F.expr("timestamp '1990-01-01'"))}
+    assert run_extract(spark, old, root, "shop", "c", DAY)[0]["status"] == "no_changes"
+    assert load_checkpoints(spark, root, "shop") == mark
+
+
+def test_new_files_in_an_ingested_folder(spark, lake, tmp_path):
+    """The ledger goes by file: a folder may gain files after it was read, old ones stay out."""
+    root, name = str(tmp_path), "categorias"
+    folder = landing.batch_folder(root, "shop", name, DAY.date(), "a")
+    rows = lake.shop[name]
+    for i in (1, 2):
+        landing.wrapped(rows.limit(i), ENTITIES[name]).write.mode("append").json(folder)
+        landing.write_batch(rows, ENTITIES[name], folder.replace("run_id=a", f"run_id=b{i}"))
+        got = run_bronze(spark, root, "shop", f"r{i}", DAY, DAY, name)[0]
+        assert got["rows_written"] == i + 6
+    assert run_bronze(spark, root, "shop", "r3", DAY, DAY, name)[0]["status"] == "already_processed"
+
+
 def test_missing_landing_folder(spark, tmp_path):
     got = run_bronze(spark, str(tmp_path), "shop", "r", DAY, DAY, "cupons")
     assert got[0]["status"] == "no_landing_files"

@@ -530,4 +530,22 @@ select id as id_pedido, {_draw('customer', 1, 1000)} as id_cliente, {_DAY} as da
     % (greatest(date '2026-06-11' - ({_DAY}), 1) + 1) as int) as timestamp) as updated_at
 from (select o_orderkey + 1 as id from {{orders}}) as o"""
 
+_PAID = f"date '2023-01-01' + cast({_draw('paid', 0, 1257)} as int)"
+_METHOD = _dice("method", {"cartao_credito": 45, "cartao_debito": 65, "pix": 90, "boleto": 100})
+_SQL["synthetic_payments"] = f"""
+select id as id_pagamento, {_draw('order', 1, 1000)} as id_pedido, {_METHOD} as forma_pagamento,
+  {_dice('status', {'aprovado': 80, 'pendente': 90, 'recusado': 97, 'estornado': 100})}
+    as status_pagamento,
+  cast(cast({_draw('value', 2000, 300000)} as decimal(18,2)) / 100 as decimal(18,2)) as valor,
+  {_PAID} as data_pagamento,
+  case when {_METHOD} = 'cartao_credito' then {_draw('months', 1, 12)} else 1 end as parcelas,
+  cast({_PAID} + cast({_draw('updated_at', 0, 1 << 40)}
+    % (greatest(date '2026-06-11' - ({_PAID}), 1) + 1) as int) as timestamp) as updated_at
+from (select o_orderkey + 1 as id from {{orders}}) as o"""
+_SQL["pipeline_payments"] = f"""
+select g.*, {_sk('g.cliente_key', _BEGIN)} as cliente_sk from ({_SQL['fact_payments']}) as g
+qualify g.status_pagamento <> 'aprovado' or row_number() over (
+  partition by g.id_pedido, g.status_pagamento
+  order by g.data_pagamento desc, g.id_pagamento desc) = 1"""
+
 ORACLES: dict[str, str] = {name: with_shop(sql) for name, sql in _SQL.items()}

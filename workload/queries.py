@@ -14,7 +14,8 @@ from camadas.functions.keys import day_key, digest, surrogate_key
 from camadas.functions.text import cell, clean
 from camadas.operators import audit, history, quality, upsert
 from camadas.plans import bronze as bronze_plan
-from camadas.plans import marts, silver, star
+from camadas.plans import gold, marts, silver, star
+from camadas.plans.extract import run_extract
 from camadas.session import apply_settings, materialize, scratch_dir
 from camadas.sources import bronze, csv_files, landing, synthetic
 from camadas.streaming.ingest import ingest_available
@@ -659,3 +660,24 @@ def synthetic_orders(s):
     """A synthetic order for every order id of the tables."""
     ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
     return synthetic.orders(ids, customers=1000, coupons=50)
+
+
+@query
+def synthetic_payments(s):
+    ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
+    return synthetic.payments(ids, orders=1000)
+
+
+@query
+def pipeline_payments(s):
+    """Sources to landing, raw, curated and modelled tables: the payment fact with its surrogate."""
+    root, names = scratch_dir(s.spark, "lake"), ["clientes", "cupons", "pedidos", "pagamentos"]
+    run_extract(s.spark, {n: s[n] for n in names}, root, "shop", "r1", RUN_AT)
+    args = (s.spark, root, "shop", "r1", RUN_AT, RUN_AT)
+    bronze_plan.run_bronze(*args, names)
+    silver.run_silver(*args, names)
+    gold.run_gold(*args, ["dim_cliente", "fato_pagamentos"])
+    fact = gold.gold_table(s.spark, root, "shop", MODELS["fato_pagamentos"]).read()
+    return longs(fact, "data_key", "ano", "quantidade_pagamentos").drop(
+        gold.RECORD_HASH, gold.PIPELINE_RUN, gold.PROCESSED_AT
+    )
