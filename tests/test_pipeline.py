@@ -24,15 +24,15 @@ class Lake:
     def __init__(self, spark, root):
         self.spark, self.root, self.n, self.marks = spark, root, 0, {}
 
-    def run(self, sources):
-        """One full cycle over the given source frames."""
+    def run(self, sources, tables=None, models=None):
+        """One cycle over the given source frames, through all tables or the named ones."""
         self.n += 1
         at = DAY + dt.timedelta(days=self.n)
         rid = f"run{self.n}"
         landing.extract(sources, ENTITIES, self.root, "shop", rid, at, {})
-        b = run_bronze(self.spark, self.root, "shop", rid, at, at)
-        s = run_silver(self.spark, self.root, "shop", rid, at, at)
-        g = run_gold(self.spark, self.root, "shop", rid, at, at)
+        b = run_bronze(self.spark, self.root, "shop", rid, at, at, tables)
+        s = run_silver(self.spark, self.root, "shop", rid, at, at, tables)
+        g = run_gold(self.spark, self.root, "shop", rid, at, at, models)
         return ({r["table"]: r for r in part} for part in (b, s, g))
 
     def silver(self, name):
@@ -104,7 +104,8 @@ def test_rerun_then_changes(lake):
         "updated_at", F.col("updated_at") - F.expr("interval 1 day"))
     new = c.filter("id_cliente in (5, 6)").withColumns({
         "id_cliente": F.col("id_cliente") + 5000, "cpf": F.lpad((F.col("id_cliente") + 5000).cast("string"), 11, "0")})
-    b, s, g = lake.run({"clientes": moved.unionByName(late).unionByName(new)})
+    batch = moved.unionByName(late).unionByName(new)
+    b, s, g = lake.run({"clientes": batch}, "clientes", "dim_cliente,fato_vendas")
     assert b["clientes"]["rows_written"] == 6
     assert (s["clientes"]["inserted"], s["clientes"]["updated"], s["clientes"]["unchanged"]) == (2, 3, 147)
     assert lake.silver("clientes").filter("cidade = 'ATRASO'").count() == 0
@@ -122,7 +123,7 @@ def test_rerun_then_changes(lake):
     assert g["fato_vendas"]["status"] == "already_current"
 
     equal = c.filter("id_cliente = 7").withColumn("cidade", F.lit("SOL"))
-    _, s, _ = lake.run({"clientes": equal})
+    _, s, _ = lake.run({"clientes": equal}, "clientes", "dim_cliente")
     # same timestamp: the later file wins the de-duplication, and the content differs
     assert s["clientes"]["updated"] == 1
 
