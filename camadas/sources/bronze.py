@@ -31,7 +31,9 @@ def scan(spark: SparkSession, *paths: str) -> DataFrame:
     """One row per line of every JSON file below the paths, content untouched."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", FILE_GLOB)
     lines = reader.text(list(paths))
-    return lines.select(F.col("value").alias("raw_document"), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return lines.select(
+        F.col("value").alias("raw_document"), F.col("_metadata.file_path").alias(SOURCE_FILE)
+    )
 
 
 def path_lineage(path: Column) -> list[Column]:

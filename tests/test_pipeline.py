@@ -176,7 +176,7 @@ def test_merge_by_key_ranges(spark, lake, tmp_path):
 
 
 def test_scratch_tables_are_removed(spark, lake):
-    left = [d for d in os.listdir(spark.conf.get("spark.checkpoint.dir")) if d.startswith(("judged", "model"))]
+    left = [d for d in os.listdir(spark.conf.get("spark.checkpoint.dir")) if d.startswith(("newest", "judged", "model"))]
     assert left == []
 
 

@@ -112,7 +112,8 @@ def date_spine_union(s):
 
 @query
 def date_key(s):
-    return s["pedidos"].select("id_pedido", day_key(F.col("data_pedido")).cast("bigint").alias("data_key"))
+    key = day_key(F.col("data_pedido")).cast("bigint")
+    return s["pedidos"].select("id_pedido", key.alias("data_key"))
 
 
 @query
@@ -491,7 +492,8 @@ def _customer_versions(s, name):
 def _customer_history(s):
     first = history.first_versions(_customer_versions(s, "clientes"), "cliente_key", "cliente_sk")
     second = _customer_versions(s, "clientes_depois")
-    return history.apply_versions(first, second, "cliente_key", "cliente_sk", F.to_timestamp(F.lit(CHANGE)))
+    change = F.to_timestamp(F.lit(CHANGE))
+    return history.apply_versions(first, second, "cliente_key", "cliente_sk", change)
 
 
 @query
@@ -518,7 +520,8 @@ def _two_versions(s, model):
     changed = base.filter(F.col(rule.natural_key) % 3 == 0).withColumn(
         history.VERSION_HASH, F.reverse(history.VERSION_HASH)
     )
-    return history.apply_versions(first, changed, rule.natural_key, rule.key, F.to_timestamp(F.lit(EVENT_CHANGE)))
+    change = F.to_timestamp(F.lit(EVENT_CHANGE))
+    return history.apply_versions(first, changed, rule.natural_key, rule.key, change)
 
 
 @query

@@ -89,13 +89,15 @@ SHOP: dict[str, str] = {
         from {orders}""",
     "itens_pedido": f"""
         select {_line_id()} as id_item, l_orderkey + 1 as id_pedido, l_partkey + 1 as id_produto,
-          cast(l_quantity as bigint) as quantidade,
-          cast(p_retailprice as decimal(18,2)) as valor_unitario,
-          cast(l_discount * 100 as decimal(5,2)) as desconto_percentual,
-          cast(cast(l_quantity as decimal(6,0)) * cast(p_retailprice as decimal(10,2))
-            * (1 - cast(l_discount as decimal(3,2))) as decimal(18,2)) as subtotal,
+          cast(l_quantity as bigint) as quantidade, cast(price as decimal(18,2)) as valor_unitario,
+          cast(percent as decimal(5,2)) as desconto_percentual,
+          cast(cast(cast(l_quantity as bigint) as decimal(6,0)) * price
+            * (100 - cast(percent as decimal(3,0))) * 0.01 as decimal(18,2)) as subtotal,
           cast(l_shipdate as timestamp) as updated_at
-        from {{lineitem}} join {{part}} on l_partkey = p_partkey""",
+        from (select *, cast(floor(l_discount * 100 + 0.5) as bigint) as percent
+            from {{lineitem}}) as l
+          join (select p_partkey, cast(p_retailprice as decimal(10,2)) as price from {{part}}) as p
+          on l_partkey = p_partkey""",
     "pagamentos": """
         select o_orderkey + 1 + dup * 1000000000 as id_pagamento, o_orderkey + 1 as id_pedido,
           case o_orderkey % 4 when 0 then 'cartao_credito' when 1 then 'cartao_debito'
