@@ -542,7 +542,7 @@ select id as id_pagamento, {_draw('order', 1, 1000)} as id_pedido, {_METHOD} as
   cast({_PAID} + cast({_draw('updated_at', 0, 1 << 40)}
     % (greatest(date '2026-06-11' - ({_PAID}), 1) + 1) as int) as timestamp) as updated_at
 from (select o_orderkey + 1 as id from {{orders}}) as o"""
-_SQL["pipeline_payments"] = f"""
+_SQL["layered_payments"] = f"""
 select g.*, {_sk('g.cliente_key', _BEGIN)} as cliente_sk from ({_SQL['fact_payments']}) as g
 qualify g.status_pagamento <> 'aprovado' or row_number() over (
   partition by g.id_pedido, g.status_pagamento

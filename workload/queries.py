@@ -672,7 +672,7 @@ def synthetic_payments(s):
 
 
 @query
-def pipeline_payments(s):
+def layered_payments(s):
     """Sources to landing, raw, curated and modelled tables: the payment fact with its surrogate."""
     root, names = scratch_dir(s.spark, "lake"), ["clientes", "cupons", "pedidos", "pagamentos"]
     run_extract(s.spark, {n: s[n] for n in names}, root, "shop", "r1", RUN_AT)
