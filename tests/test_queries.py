@@ -7,7 +7,10 @@ from tests.conftest import plan
 from workload.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# Training-data queries run Python by design and have their own tests.
+OWN = entry._training_data()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in OWN[0]}
+SQL = {k: v for k, v in entry.oracle_sql().items() if k not in OWN[1]}
 
 
 @pytest.fixture(scope="module")
