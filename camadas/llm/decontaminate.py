@@ -23,14 +23,13 @@ from pyspark.sql import functions as F
 from camadas.llm.common import partial_sums, through, words_of
 from camadas.session import materialize
 
-FEATURES, SKETCH_ROWS, RANK = 8192, 64, 96
+FEATURES, SKETCH_ROWS, RANK = 8192, 64, 128
 # Words are kept as 15-bit numbers whose low 13 bits are their feature; the last feature stands for
 # words of punctuation only and for filling, and weighs nothing.
 NOTHING = FEATURES - 1
 STEP = 16
 PASSAGE = 2 * STEP
-COSINE = 0.57
-MOST_SHARE = 0.05
+COSINE = 0.55
 ITEMS_AT_ONCE = 2000
 TOKENS_AT_ONCE = 100_000
 WORD_CACHE = 500_000
@@ -134,7 +133,6 @@ class Index:
                 owner.append(k)
         self.owner = np.array(owner)
         idf = np.log((1 + count + len(pieces)) / (1 + seen))
-        idf[seen > MOST_SHARE * max(count, 200)] = 0
         idf[NOTHING] = 0
         rows = np.array(pieces, "f8").reshape(-1, FEATURES) * idf
         rows /= np.linalg.norm(rows, axis=1, keepdims=True) + 1e-12

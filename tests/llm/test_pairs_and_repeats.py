@@ -198,7 +198,7 @@ def plain_leaks(docs, items):
             item = [w.strip(strip) for w in (text or "").encode().lower().split()]
             size = 2 * len(item) + decontaminate.PASSAGE
             best = max((lcs(item, words[s:s + size]) for s in range(0, max(1, len(words)), 16)), default=0)
-            if item and best >= 0.7 * len(item):
+            if n is not None and item and best >= 0.7 * len(item):
                 out.add((i, n))
     return out
 
