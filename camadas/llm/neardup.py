@@ -15,7 +15,7 @@ ROWS, BANDS = 5, 30
 SKETCH_WORDS = 8
 # Buckets up to this size list their open pairs; larger ones go on to the prefix join.
 SMALL_BUCKET = 32
-STAR_ROUNDS = 3
+STAR_ROUNDS, PROGRESS = 2, 0.8
 CACHE = 500_000
 
 
@@ -150,8 +150,8 @@ class Linker:
 
     A bucket is a set of representatives that share a band. In a star round the bucket's centre, chosen
     by a hash, is compared with every member outside its component and then leaves the bucket: all its
-    pairs are settled. A bucket is done when its members are in one component. What is left after the
-    star rounds is settled pair by pair: in small buckets directly, in large ones by joining prefixes of
+    pairs are settled. A bucket is done when its members are in one component. Rounds go on while they
+    settle a fifth of what is open. What is left is settled pair by pair: in small buckets directly, in large ones by joining prefixes of
     the rarest shingles, which meets every pair at the threshold. No bucket is ever expanded into all
     its pairs.
     """
@@ -193,13 +193,17 @@ class Linker:
         wanted = self.texts.join(buckets.select("rep").distinct(), "rep", "left_semi")
         self.sets = materialize(shingle_sets(wanted, self.size), "neardup-sets")
         pairs = buckets.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
-        for turn in range(1, STAR_ROUNDS + 1):
+        turn, left, going = 0, buckets.count(), True
+        while going:
+            turn += 1
             self.settle(pairs.where("a != b"))
             buckets = self.open_buckets(buckets.where("rep != centre"), turn)
-            if buckets.isEmpty():
+            before, left = left, buckets.count()
+            if not left:
                 return
             pairs = buckets.where("root != centre_root").select(
                 F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+            going = turn < STAR_ROUNDS or left < PROGRESS * before
         self.settle(self.open_pairs(buckets))
 
     def open_buckets(self, buckets: DataFrame, turn: int) -> DataFrame:
@@ -224,22 +228,33 @@ class Linker:
     def prefix_pairs(self, members: DataFrame) -> DataFrame:
         """Pairs of different components that share one of their rarest shingles.
 
-        Sets with similarity t or more share a shingle among the first n - ceil(t * n) + 1 of each in any
-        common order; ordering by rising frequency keeps the groups small. Within a group a pair is
-        listed only if it differs in component and its sizes allow the threshold.
+        Sets are put in a common order by rising frequency. With sizes n_a >= n_b, similarity t needs an
+        overlap of t / (1 + t) * (n_a + n_b), so the sets share a shingle among the first
+        n_a - ceil(t * n_a) + 1 of the larger and n_b - ceil(2t / (1 + t) * n_b) + 1 of the smaller. Their
+        first common one is at places that leave room for the rest of the overlap; pairs without room,
+        and groups of texts that only share their frequent parts, are not listed.
         """
         sets = self.sets.join(members.select("rep"), "rep", "left_semi")
         spread = materialize(sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "neardup-spread")
         common = spread.groupBy("shingle").agg(F.count("*").alias("seen")).where("seen > 1")
         ranked = spread.join(common, "shingle", "left").groupBy("rep", "n").agg(
             F.array_sort(F.collect_list(F.struct(F.coalesce("seen", F.lit(1)).alias("seen"), "shingle"))).alias("all"))
-        length = (F.col("n") - F.ceil(F.col("n") * self.threshold - 1e-9) + 1).cast("int")
-        prefix = ranked.select("rep", "n", F.explode(F.slice("all", F.lit(1), length)).alias("s")).where("s.seen > 1")
-        prefix = materialize(prefix.select("rep", "n", F.col("s.shingle").alias("shingle")).join(members, "rep"), "neardup-prefix")
-        left, right = (prefix.select("shingle", F.col("rep").alias(x), F.col("root").alias(f"r_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-        return left.join(right, "shingle").where(
-            (F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b"))
-            & (F.least("n_a", "n_b") >= self.threshold * F.greatest("n_a", "n_b") - 1e-6)).select("a", "b")
+        t = self.threshold
+
+        def prefix(share: float):
+            return (F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1).cast("int")
+
+        first = ranked.select("rep", "n", prefix(2 * t / (1 + t)).alias("short"),
+                              F.posexplode(F.slice("all", F.lit(1), prefix(t))).alias("at", "s")).where("s.seen > 1")
+        first = materialize(first.select("rep", "n", "at", (F.col("at") < F.col("short")).alias("early"),
+                                         F.col("s.shingle").alias("shingle")).join(members, "rep"), "neardup-prefix")
+        larger, smaller = (first.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "root", "n", "at", "early")]) for x in "ab")
+        bigger = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("rep_a") > F.col("rep_b")))
+        room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+        enough = room >= t / (1 + t) * (F.col("n_a") + F.col("n_b")) - 1e-6
+        return larger.join(smaller.where("early_b"), "shingle").where(
+            bigger & enough & (F.col("root_a") != F.col("root_b"))).select(
+            F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
 
 
 def shingle_sets(texts: DataFrame, size: int) -> DataFrame:

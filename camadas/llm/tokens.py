@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,29 +24,57 @@ from pyspark.sql import functions as F
 from camadas.session import materialize, scratch_dir
 
 LENGTH, ROWS = 1024, 512
-CACHE = 400_000
+CHUNKS, PIECES = 150_000, 700_000
+LATIN_END = "\u0250"
+# Fixed value: the public vocabulary's own cut into pre-tokens.
+PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # A space directly before other white space: only there do the chunks below differ from whole texts.
 UNSAFE = re.compile(r" \s| $")
 
 
 class Encoder:
-    """Ids of whole texts with the tokenizers library, remembering the chunks it has seen.
+    """Ids of whole texts with the tokenizers library, remembering the chunks and pieces it has seen.
 
     Byte-level pre-tokenisation always cuts before a single space that a non-space follows, so the
-    ids of a text are those of its chunks " word" in a row. Texts with other runs of spaces, and
-    vocabularies that do not cut there, are encoded whole.
+    ids of a text are those of its chunks " word" in a row, and those of a chunk are those of its
+    pre-tokens. Texts with other runs of spaces, chunks beyond Latin letters, and vocabularies that do not
+    cut there are encoded whole. ``of`` keeps one encoder for the life of a worker.
     """
 
-    def __init__(self, path: str, dtype: str, chunked: bool = True) -> None:
+    kept: dict[tuple, Encoder] = {}
+
+    def __init__(self, path: str, dtype: str, chunked: bool) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype, self.chunked, self.known = dtype, chunked, {}
+        self.dtype, self.chunked = dtype, chunked
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, *key) -> Encoder:
+        if key not in cls.kept:
+            cls.kept[key] = cls(*key)
+        return cls.kept[key]
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        out = []
+        for at in range(0, len(texts), 4096):
+            found = self.tokenizer.encode_batch_fast(texts[at:at + 4096], add_special_tokens=False)
+            out += [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        return out
+
+    def learn(self, chunks: list[str]) -> None:
+        if len(self.chunks) > CHUNKS:
+            self.chunks.clear()
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
+        cut = {c: PRE_TOKEN.findall(c) if max(c) < LATIN_END else [c] for c in set(chunks).difference(self.chunks)}
+        new = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
+        self.pieces.update(zip(new, self.whole(new)))
+        for c, ps in cut.items():
+            self.chunks[c] = self.pieces[ps[0]] if len(ps) == 1 else b"".join(map(self.pieces.__getitem__, ps))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
@@ -53,15 +82,14 @@ class Encoder:
                 yield self.whole([text])[0]
                 continue
             head, *rest = text.split(" ")
-            chunks = [head, *map(" ".__add__, rest)] if head else list(map(" ".__add__, rest))
+            chunks = list(map(" ".__add__, rest))
+            if head:
+                chunks.insert(0, head)
             try:
-                yield b"".join(map(self.known.__getitem__, chunks))
+                yield b"".join(map(self.chunks.__getitem__, chunks))
             except KeyError:
-                new = list(set(chunks).difference(self.known))
-                if len(self.known) + len(new) > CACHE:
-                    self.known, new = {}, list(set(chunks))
-                self.known.update(zip(new, self.whole(new)))
-                yield b"".join(map(self.known.__getitem__, chunks))
+                self.learn(chunks)
+                yield b"".join(map(self.chunks.__getitem__, chunks))
 
 
 def vocabulary_dtype(path: str) -> str:
@@ -135,7 +163,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int =
         ids_of, starts, counts = [], [], []
         for batch in batches:
             if encoder is None and batch.num_rows:
-                encoder = Encoder(tokenizer, dtype, chunked)
+                encoder = Encoder.of(tokenizer, dtype, chunked)
                 sequences = SequenceWriter(folder, f"part-{part:06d}.arrow", dtype, length)
             for ids in encoder(batch.column("text").to_pylist()) if encoder else ():
                 row = np.append(np.frombuffer(ids, dtype=dtype), np.array([end_id], dtype=dtype))

@@ -69,6 +69,7 @@ def test_near_duplicates(spark, size):
 def test_near_duplicates_in_large_buckets(spark, monkeypatch):
     """Chains and unlinked templates in one bucket: the pair and the prefix paths settle what stars leave."""
     monkeypatch.setattr(neardup, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(neardup, "PROGRESS", 0.0)
     monkeypatch.setattr(neardup, "SMALL_BUCKET", 4)
     base = prose(9, 100).split()
     chain = [" ".join(f"c{j}" if j < 7 * k else w for j, w in enumerate(base)) for k in range(8)]
