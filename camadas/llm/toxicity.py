@@ -15,7 +15,8 @@ from camadas.llm.common import MAX_LABELS, calibrated, calibration, label_sample
 
 EDGE = b".,;:!?'\"()[]{}|*#%$&-"
 LEXICON, PRIOR, Z_LEAST, GAP = 50_000, 1000.0, 3.0, -0.25
-TOP = 60.0
+TOP, WORD_CACHE = 60.0, 500_000
+BEGINNINGS = (4, 5, 6)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -23,30 +24,55 @@ def tokens(text: str | None) -> list[bytes]:
     return [w.strip(EDGE) for w in words_of(text)]
 
 
+def units(word: bytes) -> list[bytes]:
+    """A word and its longer beginnings, which carry what inflected forms have in common."""
+    return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) > n)]
+
+
 def token_counts(labelled: DataFrame) -> DataFrame:
-    """(word, bad, good): token counts by class, combined per batch before the shuffle."""
+    """(unit, whole, bad, good): counts by class of words and beginnings, combined per batch first."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             counts = (Counter(), Counter())
             for text, y in zip(frame["text"], frame["y"]):
                 counts[y].update(tokens(text))
-            words = sorted(set(counts[0]) | set(counts[1]))
-            yield pd.DataFrame({"word": words, "bad": [counts[1][w] for w in words],
-                                "good": [counts[0][w] for w in words]})
+            spread = (Counter(), Counter())
+            for words, out in zip(counts, spread):
+                for word, n in words.items():
+                    for unit in units(word):
+                        out[unit] += n
+            names = sorted(set(spread[0]) | set(spread[1]))
+            yield pd.DataFrame({"unit": names, "whole": [not u.endswith(b"*") for u in names],
+                                "bad": [spread[1][u] for u in names], "good": [spread[0][u] for u in names]})
+
+    rows = labelled.mapInPandas(run, "unit binary, whole boolean, bad long, good long")
+    return rows.groupBy("unit", "whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+class Scores(dict):
+    """The log-odds of each word: the best of its units, or None; remembers the words seen."""
+
+    def __init__(self, lexicon: dict[bytes, float]) -> None:
+        super().__init__()
+        self.lexicon = lexicon
 
-    rows = labelled.mapInPandas(run, "word binary, bad long, good long")
-    return rows.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    def __missing__(self, word: bytes) -> float | None:
+        if len(self) > WORD_CACHE:
+            self.clear()
+        found = [self.lexicon[u] for u in units(word) if u in self.lexicon]
+        self[word] = score = max(found) if found else None
+        return score
 
 
 def lexicon(counts: DataFrame, size: int = LEXICON) -> tuple[dict[bytes, float], float, float]:
-    """Scores of the most significant words, and the two parameters of the segment statistics.
+    """Scores of the most significant units, and the two parameters of the segment statistics.
 
     Log-odds with an informative Dirichlet prior: prior counts are ``PRIOR`` shared out by the words'
-    frequency in both classes. Kept are words whose z-score is ``Z_LEAST`` or more, at most ``size``.
+    frequency in both classes. Kept are units whose z-score is ``Z_LEAST`` or more, at most ``size``.
     Every other token scores ``GAP``. The extreme-value rate solves sum(p * exp(rate * score)) = 1 for
     the clean class.
     """
-    total = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    total = counts.where("whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     bad, good = total.bad or 0, total.good or 0
     if not bad or not good:
         return {}, 1.0, 0.0
@@ -57,11 +83,11 @@ def lexicon(counts: DataFrame, size: int = LEXICON) -> tuple[dict[bytes, float],
 
     delta = side("bad", bad) - side("good", good)
     variance = 1 / (F.col("bad") + prior) + 1 / (F.col("good") + prior)
-    scored = counts.select("word", delta.alias("delta"), (delta / F.sqrt(variance)).alias("z"),
+    scored = counts.select("unit", delta.alias("delta"), (delta / F.sqrt(variance)).alias("z"),
                            ((F.col("good") + prior) / (good + PRIOR)).alias("p"))
     rows = scored.where((F.col("z") >= Z_LEAST) & (F.col("delta") > 0.5)).orderBy(
-        F.desc("z"), "word").limit(size).collect()
-    words = {bytes(r.word): r.delta for r in rows}
+        F.desc("z"), "unit").limit(size).collect()
+    words = {bytes(r.unit): r.delta for r in rows}
     deltas, ps = np.array([r.delta for r in rows]), np.array([r.p for r in rows])
     low, high = 0.0, 50.0
     for _ in range(80):
@@ -95,14 +121,14 @@ def segments(hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
     return [(int(s), int(e), right - left) for s, e, left, right, _ in found]
 
 
-def passages(words: list[bytes], scores: dict[bytes, float], rate: float, chance: float,
+def passages(words: list[bytes], scores: Scores, rate: float, chance: float,
              worst: float = 0.05) -> tuple[list[tuple[int, int, float, float]], float]:
     """Significant segments with their E-values, and the document's evidence.
 
     A segment's E-value is words * chance * exp(-rate * score), the number of segments as good that a
     clean document of this length has by chance. The evidence sums -ln(E) over segments.
     """
-    hits = [(i, s) for i, s in enumerate(map(scores.get, words)) if s is not None]
+    hits = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s is not None]
     if not hits:
         return [], 0.0
     kept, evidence = [], 0.0
@@ -125,14 +151,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, thresho
     """
     texts = docs.select("doc_id", "text")
     train = with_labels(texts, label_sample(labels, "toxic", held_out, max_labels)).select("text", "y")
-    words, rate, chance = lexicon(token_counts(train))
+    found, rate, chance = lexicon(token_counts(train))
+    words = Scores(found)
 
     def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"raw": [passages(tokens(t), words, rate, chance)[1] for t in frame["text"]],
                                 "y": frame["y"]})
 
-    knots = calibration(train.mapInPandas(evidence, "raw double, y int"), 0.0, TOP) if words else ([], [])
+    knots = calibration(train.mapInPandas(evidence, "raw double, y int"), 0.0, TOP) if found else ([], [])
 
     def make(batch: pa.RecordBatch) -> dict:
         found = [passages(tokens(t), words, rate, chance) for t in batch.column("text").to_pylist()]
