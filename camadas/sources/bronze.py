@@ -24,7 +24,7 @@ def landing_files(spark: SparkSession, folder: str) -> DataFrame:
     """Paths of all landing files, from the listing alone: no file is opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     found = reader.option("pathGlobFilter", FILE_GLOB).load(folder)
-    return found.select(F.col("path").alias(SOURCE_FILE))
+    return found.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def scan(spark: SparkSession, *paths: str) -> DataFrame:

@@ -20,12 +20,8 @@ def read_typed(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     )
 
 
-def write(df: DataFrame, path: str, one_file_rows: int | None = None) -> None:
-    """CSV with a header, one file per task.
-
-    ``one_file_rows``: a result of at most so many rows becomes a single file, for tools that load
-    one file; a bigger one keeps its many files. Nothing is cut.
-    """
-    if one_file_rows is not None and df.limit(one_file_rows + 1).count() <= one_file_rows:
+def write(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header, one file per task, or one file in all where ``single_file`` asks for it."""
+    if single_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").csv(path, header=True)

@@ -71,13 +71,13 @@ def batch_folder(root: str, database: str, collection: str, day: date, run_id: s
 def write_batch(batch: DataFrame, entity: Entity, folder: str, field: str = WATERMARK) -> dict:
     """Write a batch as JSON lines (one file per task) and report its size and newest row.
 
-    Counting rides along with the write. An empty batch leaves no file.
+    Counting rides along with the write. A retried run replaces its own batch. An empty one leaves no file.
     """
     if batch.isEmpty():
         return {"document_count": 0, "max_updated_at": None}
     seen = Observation()
     observed = batch.observe(seen, F.count(F.lit(1)).alias("n"), F.max(field).alias("newest"))
-    wrapped(observed, entity).write.option("ignoreNullFields", "false").json(folder)
+    wrapped(observed, entity).write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
     newest = seen.get["newest"]
     return {"document_count": seen.get["n"], "max_updated_at": as_utc(newest) if newest else None}
 

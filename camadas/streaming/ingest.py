@@ -1,4 +1,4 @@
-"""The raw ingest and the merge as streams that run until their input is exhausted.
+"""The raw ingest as a stream that runs until its input is exhausted.
 
 The file source keeps its own ledger of seen files in the checkpoint and the Parquet sink commits
 each file list atomically, so every file is ingested exactly once without scanning the table.
@@ -6,7 +6,6 @@ each file list atomically, so every file is ingested exactly once without scanni
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from camadas.contracts import Entity
-from camadas.entities import OVERLAP_HOURS, WATERMARK
 from camadas.functions.extjson import decode
 from camadas.sources import bronze
 from camadas.sources.landing import as_utc
@@ -55,13 +53,3 @@ def ingest_available(
 
 def decoded_stream(lines: DataFrame, entity: Entity) -> DataFrame:
     return decode(lines, entity).drop("raw_document")
-
-
-def drop_replays(
-    rows: DataFrame, keys: Sequence[str], time: str = WATERMARK, hours: int = OVERLAP_HOURS
-) -> DataFrame:
-    """Drop rows the extraction overlap delivers again.
-
-    State is kept only for the overlap's length, so it stays bounded by the rows of that window.
-    """
-    return rows.withWatermark(time, f"{hours} hours").dropDuplicatesWithinWatermark(list(keys))

@@ -217,7 +217,7 @@ def test_missing_landing_folder(spark, tmp_path):
 def test_csv_route(lake, spark, tmp_path):
     for n, e in ENTITIES.items():
         csv_files.write(lake.shop[n].select(*e.columns), f"{tmp_path}/in/{n}.csv")
-    export_star(spark, f"{tmp_path}/in", f"{tmp_path}/out", one_file_rows=10_000)
+    export_star(spark, f"{tmp_path}/in", f"{tmp_path}/out", single_file=True)
     flat = spark.read.csv(f"{tmp_path}/out/obt_vendas.csv", header=True)
     assert flat.count() == 6000
     direct = lake.shop["itens_pedido"].agg(F.sum("subtotal")).first()[0]

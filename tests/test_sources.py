@@ -135,8 +135,8 @@ def test_csv_round_trip(spark, tmp_path):
     assert got[0].data_pedido == dt.datetime(2024, 1, 2)
     assert all(v is None for v in got[1])
     df = spark.range(100)
-    csv_files.write(df.repartition(4), str(tmp_path / "many"), one_file_rows=10)
-    csv_files.write(df.repartition(4), str(tmp_path / "one"), one_file_rows=100)
+    csv_files.write(df.repartition(4), str(tmp_path / "many"))
+    csv_files.write(df.repartition(4), str(tmp_path / "one"), single_file=True)
     parts = {n: len([f for f in os.listdir(tmp_path / n) if f.endswith(".csv")]) for n in ("many", "one")}
     assert parts == {"many": 4, "one": 1}
     assert spark.read.csv(str(tmp_path / "many"), header=True).count() == 100

@@ -135,7 +135,7 @@ SHOP: dict[str, str] = {
           event_id % (select count(*) from {part}) + 1 as id_produto, event_id % 5 + 1 as nota,
           event_type as comentario, cast(ts as date) as data_avaliacao,
           cast(ts as timestamp) as updated_at
-        from {events} where event_type in ('purchase', 'view')""",
+        from {events}""",
     # --- defective inputs, derived with modulo arithmetic ---------------------------------
     # raw orders: padded and upper-case texts, bad fields, orphans, null keys, older and newer copies
     "pedidos_brutos": """
