@@ -29,7 +29,7 @@ FEATURES, SKETCH_ROWS, RANK = 8192, 64, 128
 NOTHING = FEATURES - 1
 STEP = 16
 PASSAGE = 2 * STEP
-COSINE = 0.55
+COSINE = 0.45
 ITEMS_AT_ONCE = 2000
 TOKENS_AT_ONCE = 100_000
 WORD_CACHE = 500_000
