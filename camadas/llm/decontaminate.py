@@ -29,7 +29,7 @@ FEATURES, SKETCH_ROWS, RANK = 8192, 64, 128
 NOTHING = FEATURES - 1
 STEP = 16
 PASSAGE = 2 * STEP
-COSINE = 0.45
+COSINE = 0.5
 ITEMS_AT_ONCE = 2000
 TOKENS_AT_ONCE = 100_000
 WORD_CACHE = 500_000
@@ -141,7 +141,8 @@ class Index:
         _, strength, basis = np.linalg.svd(np.vstack([corpus, rows]), full_matrices=False)
         kept = strength > 1e-6
         basis, strength = basis[kept][:RANK], strength[kept][:RANK]
-        scale = 1 / (strength + 0.1 * strength.max(initial=1.0))
+        # Rows have length one: a ridge of one keeps a passage and the item it holds alike where both are among few rows.
+        scale = 1 / np.sqrt(strength**2 + 1)
         self.project = np.ascontiguousarray((basis * scale[:, None]).T * idf[:, None], dtype="f4")
         latent = (rows @ basis.T) * scale
         self.latent = (latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-12)).astype("f4")
