@@ -96,6 +96,19 @@ def test_rerun_then_changes(lake):
     assert all(r["unchanged"] == r["records_valid"] for r in s.values())
     assert before == {n: sorted(os.listdir(f"{lake.root}/silver/shop/{n}/data")) for n in ENTITIES}
 
+    # a run repeated under its own id leaves the quality log as it was
+    def log():
+        return spark.read.parquet(f"{lake.root}/silver/_control/quality_log").collect()
+
+    entries, rid = len(log()), f"run{lake.n}"
+    at = DAY + dt.timedelta(days=lake.n)
+    run_silver(spark, lake.root, "shop", rid, at, at)
+    assert len(log()) == entries
+    # a narrowed read must not miss the rows a table's rules compare with
+    narrowed = run_silver(spark, lake.root, "shop", rid, at, at, since=dt.date(2999, 1, 1))
+    assert {r["table"]: r["business_rule_rejected"] for r in narrowed} == {
+        n: r["business_rule_rejected"] for n, r in s.items()}
+
     # three moved customers, one late older version, one equal version with other content, two new
     c = shop["clientes"]
     later = F.col("updated_at") + F.expr("interval 400 days")
