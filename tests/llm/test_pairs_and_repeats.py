@@ -140,6 +140,24 @@ def test_repeated_substrings(spark, monkeypatch, block):
     check_removal(found, rows)
 
 
+def test_repeated_substrings_of_a_crowded_hash(spark, monkeypatch):
+    """A passage with other neighbours in every document: no block takes all contexts of its hashes."""
+    monkeypatch.setattr(substrings, "CROWD", 20, raising=False)
+    blocks, compare = [], substrings.compare_contexts
+
+    def watched(contexts, n):
+        blocks.append(contexts.groupBy("h").count().agg({"count": "max"}).first()[0])
+        return compare(contexts, n)
+
+    monkeypatch.setattr(substrings, "compare_contexts", watched)
+    passage = prose(777, 40)
+    rows = [(500 - k, f"{prose(2000 + k, 15)} {passage} {prose(3000 + k, 15)}") for k in range(150)]
+    rows += [rows[3], (None, rows[5][1]), (497, rows[9][1] + "!"), (800, "ab" * 300), (801, passage), (802, None)]
+    found = substrings.digest(frame(spark, rows).repartition(7)).collect()
+    check_removal(found, rows)
+    assert max(b or 0 for b in blocks) <= 20
+
+
 def test_repeated_substrings_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     check_removal(substrings.digest(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
