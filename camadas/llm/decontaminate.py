@@ -3,8 +3,11 @@
 Passages of the corpus and of the benchmark are TF-IDF vectors over hashed words. A randomised SVD gives
 the latent space: each task multiplies its passages by a random sign matrix (one non-zero per passage), the
 products are summed over tasks, and the driver decomposes the small sum beside the benchmark's own
-rows. Candidates are windows whose latent cosine with a benchmark passage is high enough; a longest common
+rows. Windows whose latent cosine with a benchmark passage is high enough are judged first; a longest common
 subsequence of words, and one with the item's answer, decide.
+
+Retrieval only orders the work. A subsequence cannot be longer than the number of the item's words that
+stand in the stretch at all, so that number admits every stretch that can hold a leak, and all its windows are judged.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ NOTHING = FEATURES - 1
 STEP = 16
 PASSAGE = 2 * STEP
 COSINE = 0.5
+STRETCH = 256
 ITEMS_AT_ONCE = 2000
 TOKENS_AT_ONCE = 100_000
 WORD_CACHE = 500_000
@@ -123,11 +127,14 @@ class Index:
 
     def __init__(self, items: list[Item], count: float, seen: np.ndarray, sketch: np.ndarray) -> None:
         self.items = [i for i in items if (i.words != NOTHING).any()]
-        self.holds = np.zeros((len(self.items), 4 * FEATURES), bool)
+        self.sizes = np.array([len(i.words) for i in self.items], "i8")
+        self.longest = int(self.sizes.max(initial=0))
+        # How often each word stands in each item.
+        self.counts = np.zeros((4 * FEATURES, len(self.items)), np.min_scalar_type(self.longest))
         pieces, owner = [], []
         for k, item in enumerate(self.items):
             f = item.words & (FEATURES - 1)
-            self.holds[k, item.words] = True
+            np.add.at(self.counts[:, k], item.words, 1)
             for at in range(0, max(1, len(f) - STEP // 2), 3 * STEP // 2):
                 pieces.append(np.bincount(f[at:at + PASSAGE], minlength=FEATURES))
                 owner.append(k)
@@ -169,6 +176,18 @@ class Index:
             yield int(text[w]), int(w - first[text[w]]) * STEP, k
 
 
+    def admitted(self, words: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+        """(first word of a stretch, item) where a window may hold ``least`` of the item in order.
+
+        Counts the item's words, repeats included, that stand anywhere in the regions of the stretch's windows.
+        """
+        for at in range(0, len(words), STRETCH):
+            there = np.unique(words[max(0, at - self.longest):at + STRETCH + PASSAGE + self.longest])
+            most = self.counts[there].sum(axis=0, dtype="u4") / self.sizes
+            for k in np.flatnonzero(most >= least).tolist():
+                yield at, k
+
+
 def common_subsequence(pattern: np.ndarray, words: np.ndarray) -> int:
     """Length of the longest common subsequence, bit-parallel over the pattern."""
     places: dict[int, int] = {}
@@ -187,11 +206,11 @@ def common_subsequence(pattern: np.ndarray, words: np.ndarray) -> int:
 def verdict(item: Item, holds: np.ndarray, words: np.ndarray, at: int, least: float, least_with_answer: float) -> tuple[float, float] | None:
     """Shares of the item and of its answer found in order around a window, if they are enough.
 
-    ``holds`` marks the item's words: a region with fewer of them cannot hold a long subsequence.
+    ``holds`` counts the item's words: a region with fewer of them cannot hold a long subsequence.
     """
     size = len(item.words)
     region = words[max(0, at - size):at + PASSAGE + size]
-    region = region[holds[region]]
+    region = region[holds[region] > 0]
     if len(region) < least_with_answer * size:
         return None
     share = common_subsequence(item.words, region) / size
@@ -201,11 +220,19 @@ def verdict(item: Item, holds: np.ndarray, words: np.ndarray, at: int, least: fl
     return (share, answer) if share >= least or answer >= 0.8 else None
 
 
+def possible(item: Item, holds: np.ndarray, words: np.ndarray, at: int, least: float) -> bool:
+    """Whether the regions of a stretch's windows, taken together, hold ``least`` of the item in order."""
+    size = len(item.words)
+    region = words[max(0, at - size):at + STRETCH + PASSAGE + size]
+    region = region[holds[region] > 0]
+    return len(region) >= least * size and common_subsequence(item.words, region) / size >= least
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.7, least_with_answer: float = 0.55) -> DataFrame:
     """Contaminated pairs: doc_id, item_id, lcs_share, answer_share (the best of the document's windows).
 
     A document is contaminated by an item if at least ``least`` of the item's words appear in it in order
-    within a window of the item's size around a candidate, or ``least_with_answer`` of them along with
+    within the item's size around any window of ``PASSAGE`` words, or ``least_with_answer`` of them along with
     four fifths of the answer. Words are compared by 15-bit hashes. The benchmark is read in blocks of about ``ITEMS_AT_ONCE`` items, each with
     a pass of its own over the documents, so what tasks receive is bounded.
 
@@ -238,11 +265,25 @@ def search(texts: DataFrame, index: Index | None, least: float, least_with_answe
             held: list[tuple] = []
 
             def flush() -> None:
-                for k, at, i in index.candidates([words for _, words in held]):
-                    doc, words = held[k]
-                    shares = verdict(index.items[i], index.holds[i], words, at, least, least_with_answer)
-                    if shares:
-                        found.append((doc, index.items[i].item_id, *shares))
+                open_ = [(k, at, i) for k, (_, words) in enumerate(held) for at, i in index.admitted(words, least_with_answer)
+                         if possible(index.items[i], index.counts[:, i], words, at, least_with_answer)]
+                hopeful, judged = set(open_), set()
+                best: dict[tuple[int, int], tuple[float, float]] = {}
+
+                def judge(k: int, at: int, i: int) -> None:
+                    if (k, at, i) not in judged and best.get((k, i)) != (1.0, 1.0):
+                        judged.add((k, at, i))
+                        shares = verdict(index.items[i], index.counts[:, i], held[k][1], at, least, least_with_answer)
+                        if shares:
+                            best[k, i] = max(shares, best.get((k, i), shares))
+
+                for k, at, i in index.candidates([words for _, words in held]) if hopeful else ():
+                    if (k, at // STRETCH * STRETCH, i) in hopeful:
+                        judge(k, at, i)
+                for k, start, i in open_:
+                    for at in range(start, min(start + STRETCH, len(held[k][1])), STEP):
+                        judge(k, at, i)
+                found.extend((held[k][0], index.items[i].item_id, *shares) for (k, i), shares in best.items())
 
             size = 0
             for doc, blob in zip(batch.column("doc_id").to_pylist(), batch.column("words").to_pylist()):

@@ -235,6 +235,37 @@ def test_leaks(spark):
     assert {(200 + k, k) for k in range(8)} | {(300 + k, k) for k in range(8)} <= found
 
 
+def test_leaks_that_look_unlike_their_item(spark):
+    """Items among a much repeated word, and with most words but the answer's replaced, against all windows."""
+    rng = random.Random(12)
+    items = [(k, f"{' '.join(f'q{k}w{j}' for j in range(20 if k % 2 else 12))}?\n{' '.join(f'a{k}w{j}' for j in range(5))}.") for k in range(30)]
+    docs = [(k, prose(k, 100)) for k in range(20)]
+    for k, text in items:
+        words, fill = text.split(), prose(4000 + k, 60).split()
+        docs.append((100 + k, " ".join([*fill[:30], *(f"{w} rep{k} rep{k}" for w in words), *fill[30:]])))
+        for n, share in enumerate((0.3, 0.4, 0.5)):
+            asked = len(words) - 5
+            changed = set(rng.sample(range(asked), min(asked, round(share * len(words)))))
+            mixed = [rng.choice(fill) if j in changed else w for j, w in enumerate(words)]
+            docs.append((200 + 100 * n + k, " ".join([*fill[:rng.randint(0, 30)], *mixed, "filler " * 20, *fill[30:]])))
+    plain = set()
+    for i, t in docs:
+        words = decontaminate.Numbers()(t)
+        for n, text in items:
+            item = decontaminate.as_item(n, text)
+            size = len(item.words)
+            for at in range(0, len(words), decontaminate.STEP):
+                region = words[max(0, at - size):at + decontaminate.PASSAGE + size]
+                share = decontaminate.common_subsequence(item.words, region) / size
+                answer = decontaminate.common_subsequence(item.answer, region) / len(item.answer)
+                if share >= 0.7 or share >= 0.55 and answer >= 0.8:
+                    plain.add((i, n))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame(spark, docs), table).collect()}
+    assert found == plain and {(100 + k, k) for k in range(30)} <= found
+    assert any(300 <= i < 400 for i, _ in found)
+
+
 def test_leaks_with_the_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", 3)
     items = [(k, prose(900 + k, 20)) for k in range(8)]
