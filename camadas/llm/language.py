@@ -17,6 +17,8 @@ from camadas.llm.common import through
 LETTER = regex.compile(r"\p{L}")
 LONGEST_PIECE, LONGEST_WORD = 16, 40
 UNKNOWN, SMOOTHING = 1e-7, 0.5
+# Far above the smallest float: one more piece cannot fall from here to zero.
+SMALL = 1e-100
 # Words after which more text no longer sharpens the score; the argmax does not depend on it.
 SURE = 30.0
 _P = np.uint64(1099511628211)
@@ -92,14 +94,20 @@ class Pieces:
     def forward(self, words: list[str]) -> np.ndarray:
         """log P(word) per language: the sum over all segmentations, for words of one length.
 
-        ``reach[:, j]`` is the probability of the first j characters. A character that no piece covers
-        counts as one unknown piece, alike in all languages.
+        ``reach[:, j]`` is the probability of the first j characters, over ``exp(shift)`` of its word and
+        language: where it gets small, it and the positions ahead are scaled up. A character that no piece
+        covers counts as one unknown piece, alike in all languages.
         """
         n = len(words[0]) + 1
         codes = np.array([list(map(ord, "▁" + w)) for w in words], dtype="u8")
         reach = np.zeros((len(words), n + 1, len(self.langs)))
         reach[:, 0] = 1
+        shift = np.zeros((len(words), len(self.langs)))
         for i in range(n):
+            if reach[:, i].min(initial=1) < SMALL:
+                scale = np.where(reach[:, i] < SMALL, reach[:, i], 1)
+                shift += np.log(scale)
+                reach[:, i:i + LONGEST_PIECE] /= scale[:, None]
             keys = np.full(len(words), 14695981039346656037, dtype="u8")
             for size in range(1, min(LONGEST_PIECE, n - i) + 1):
                 keys = (keys ^ codes[:, i + size - 1]) * _P
@@ -107,7 +115,7 @@ class Pieces:
                 if size == 1:
                     p = np.where(p.any(axis=1, keepdims=True), p, UNKNOWN)
                 reach[:, i + size] += reach[:, i] * p
-        return np.log(reach[:, n])
+        return np.log(reach[:, n]) + shift
 
     def score(self, words: list[str]) -> np.ndarray:
         """Words longer than ``LONGEST_WORD`` characters are scored in pieces of that length."""

@@ -106,6 +106,20 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(pieces.score(words), [np.log(plain("▁" + w)) for w in words])
 
 
+def test_long_words_of_unseen_pieces_with_large_counts():
+    """Forty one-character pieces that no language has seen, beside counts of a large corpus."""
+    pieces = language.Pieces(queries.PIECES, [("a", 300, 10**9), ("b", 400, 2 * 10**9)])
+    shown = {pieces._hash(c): c for c in map(chr, range(0x4E00, 0x9FFF))}
+    char = next(shown[int(k)] for k in pieces.keys if int(k) in shown)
+    row = pieces.probabilities[np.searchsorted(pieces.keys, np.uint64(pieces._hash(char)))]
+    first, words = pieces.score([char])[0], [char * 40, char * 80, "house"]
+    scores = pieces.score(words)
+    assert np.isfinite(scores).all()
+    assert np.allclose(scores[0], first + 39 * np.log(row)) and np.allclose(scores[1], 2 * scores[0])
+    names, best = pieces([f"{char * 40} house", char * 200])
+    assert np.isfinite(best).all() and (best > 0).all() and set(names) <= {"a", "b"}
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = language.identify(docs, fold("doc_id", 4, 2), queries.PIECES).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
