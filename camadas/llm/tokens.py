@@ -37,18 +37,23 @@ class Encoder:
 
     Byte-level pre-tokenisation always cuts before a single space that a non-space follows, so the
     ids of a text are those of its chunks " word" in a row, and those of a chunk are those of its
-    pre-tokens. Texts with other runs of spaces, chunks beyond Latin letters, and vocabularies that do not
-    cut there are encoded whole. ``of`` keeps one encoder for the life of a worker.
+    pre-tokens. Texts with other runs of spaces or with the content of an added token, chunks beyond Latin
+    letters, and vocabularies that do not cut there are encoded whole. ``of`` keeps one encoder for the life
+    of a worker.
     """
 
     kept: dict[tuple, Encoder] = {}
 
-    def __init__(self, path: str, dtype: str, chunked: bool) -> None:
+    def __init__(self, path: str, dtype: str, chunked: bool, literal: bool) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype, self.chunked = dtype, chunked
+        self.tokenizer.encode_special_tokens = literal
+        added = () if literal else self.tokenizer.get_added_tokens_decoder().values()
+        # Content matched after normalisation cannot be told from the raw text.
+        unseen = self.tokenizer.normalizer is not None and any(t.normalized for t in added)
+        self.dtype, self.chunked = dtype, chunked and not unseen
+        self.added = re.compile("|".join(re.escape(t.content) for t in added if t.content) or r"(?!)")
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -78,7 +83,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if not self.chunked or UNSAFE.search(text):
+            if not self.chunked or UNSAFE.search(text) or self.added.search(text):
                 yield self.whole([text])[0]
                 continue
             head, *rest = text.split(" ")
@@ -146,10 +151,11 @@ class SequenceWriter:
 
 
 def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, length: int = LENGTH,
-                    chunked: bool = True) -> DataFrame:
+                    chunked: bool = True, literal: bool = True) -> DataFrame:
     """Encode every text in ascending id order into ``folder`` (a URI all executors share).
 
-    Returns one row per part: part, n_tokens. The rows are range-partitioned by id, each task writes
+    ``literal`` takes the content of special tokens within a text as plain text; without it the ids are those
+    of the library's own call. Returns one row per part: part, n_tokens. The rows are range-partitioned by id, each task writes
     its own part, and a repeated task replaces its part by the same bytes. Null and empty texts have
     the end id only; null ids come first; repeated ids follow one another by text; no rows write no
     part; other columns are ignored.
@@ -163,7 +169,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int =
         ids_of, starts, counts = [], [], []
         for batch in batches:
             if encoder is None and batch.num_rows:
-                encoder = Encoder.of(tokenizer, dtype, chunked)
+                encoder = Encoder.of(tokenizer, dtype, chunked, literal)
                 sequences = SequenceWriter(folder, f"part-{part:06d}.arrow", dtype, length)
             for ids in encoder(batch.column("text").to_pylist()) if encoder else ():
                 row = np.append(np.frombuffer(ids, dtype=dtype), np.array([end_id], dtype=dtype))
@@ -255,7 +261,7 @@ def _checksums(batches: Iterator[np.ndarray], counts: np.ndarray) -> list[int]:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = LENGTH) -> DataFrame:
-    """Write the documents under the shared scratch folder and read their digests back."""
+    """Write the library's ids of the documents under the shared scratch folder and read their digests back."""
     folder = scratch_dir(docs.sparkSession, "tokens")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return read_documents(write_sequences(docs, folder, tokenizer, end_id, length), folder)
+    return read_documents(write_sequences(docs, folder, tokenizer, end_id, length, literal=False), folder)

@@ -160,6 +160,18 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokens.encode(frame(spark, []), queries.BYTE_BPE).count() == 0
 
 
+def test_added_tokens_get_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.BYTE_BPE)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|> b  c", "x <|endoftext", "no token here"]
+    docs = frame(spark, list(enumerate(texts)))
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokens.encode(docs, queries.BYTE_BPE).collect()}
+    for k, text in enumerate(texts):
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert found[k] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_top_k_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 60)
     monkeypatch.setattr(topk, "QUERIES", 2)
