@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camadas.llm import decontaminate, language, lines, mixing, neardup, quality, substrings, tokens, topk, toxicity
+from camadas.llm import (
+    decontaminate, divergence, language, lines, mixing, neardup, packing, prefixes, quality, substrings, tokens, topk, toxicity)
 from camadas.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -73,6 +75,22 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language are apart, and the terms that stand out in each."""
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document stands in sequences of 2048 ids."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, length=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations."""
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"), family=5, heads=9)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_near_duplicates, op2_benchmark_leaks, op3_language, op4_repeated_substrings, op5_token_files, op6_top_k,
-    op7_quality, op8_toxicity, op9_boilerplate_lines, op10_mixture)}
+    op7_quality, op8_toxicity, op9_boilerplate_lines, op10_mixture, op11_source_divergence, op12_packing, op13_prefix_trie)}
