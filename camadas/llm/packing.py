@@ -31,7 +31,7 @@ from camadas.llm.common import parts
 from camadas.session import materialize
 
 LENGTH = 2048
-WORDS, CHARS = 500_000, 16_000_000
+WORDS, CHARS = 300_000, 6_000_000
 STOPS = ".,;:!?"
 LATIN_END = "Ā"
 
