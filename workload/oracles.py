@@ -505,6 +505,8 @@ select *, date '2002-01-01' as dia_extracao,
   case when id_pedido % 3 <> 0 then 'c1' else 'c2' end as carga
 from {pedidos}"""
 _SQL["stream_ingest"] = _SQL["bronze_ingest"]
+_SQL["stream_merge"] = f"select * exclude (acao) from ({_SQL['merge_upsert']}) as m"
+_SQL["stream_dedup"] = "select * from {pedidos}"
 _SQL["csv_typed_scan"] = """
 select id_pedido, id_cliente, cast(data_pedido as timestamp) as data_pedido, status,
   cast(valor_total as double) as valor_total, id_cupom, updated_at from {pedidos}"""

@@ -18,6 +18,7 @@ from camadas.plans import gold, marts, silver, star
 from camadas.plans.extract import run_extract
 from camadas.session import apply_settings, materialize, scratch_dir
 from camadas.sources import bronze, csv_files, landing, synthetic
+from camadas.streaming import merge as stream_merges
 from camadas.streaming.ingest import ingest_available
 from workload.shop import Shop
 
@@ -651,6 +652,39 @@ def stream_ingest(s):
     return _decode_bronze(s.spark.read.parquet(table), "pedidos")
 
 
+def _stream_state(s, root, name):
+    rule = ENTITIES["pedidos"]
+    return stream_merges.MergeSink(stream_merges.state_of(s.spark, f"{root}/{name}", rule, 16), rule, name)
+
+
+@query
+def stream_merge(s):
+    """The merge as a stream in three triggers: the old state, a batch, then late rows and replays."""
+    root = scratch_dir(s.spark, "stream-merge")
+    sink = _stream_state(s, root, "pedidos")
+    landed = (("r1", (("pedidos_antes", "true"),)), ("r2", (("pedidos_lote", "true"),)),
+              ("r3", (("pedidos_antes", "id_pedido % 3 = 0"), ("pedidos_lote", "id_pedido % 4 = 1"))))
+    for run, batches in landed:
+        for source, where in batches:
+            _land(s, root, f"{run}-{source}", source, "pedidos", where)
+        stream_merges.merge_available(
+            s.spark, f"{root}/landing/shop/pedidos", sink, f"{root}/checkpoint").awaitTermination()
+    return sink.state.read().drop(stream_merges.HASH)
+
+
+@query
+def stream_dedup(s):
+    """Keyed streaming de-duplication over a backlog years behind the first rows, with repeated files."""
+    root = scratch_dir(s.spark, "stream-dedup")
+    sink = _stream_state(s, root, "pedidos")
+    for run, source, where in (("r1", "pedidos", "id_pedido % 2 = 0 and updated_at >= '1999-01-01'"),
+                               ("r2", "pedidos", "true"), ("r3", "pedidos", "id_pedido % 3 <> 0")):
+        _land(s, root, run, source, "pedidos", where)
+        stream_merges.merge_unseen(
+            s.spark, f"{root}/landing/shop/pedidos", sink, f"{root}/checkpoint").awaitTermination()
+    return sink.state.read().drop(stream_merges.HASH)
+
+
 @query
 def csv_typed_scan(s):
     root = scratch_dir(s.spark, "csv")
