@@ -302,6 +302,16 @@ _RANKED_CUSTOMERS = f"""
   from ({_SQL['quality_filter']}) as q"""
 _SQL["unique_rule_kept"] = f"""
 select id_cliente, cpf, updated_at from ({_RANKED_CUSTOMERS}) as r where n = 1"""
+_SQL["silver_incremental"] = f"""
+with todas as (
+  {_CUSTOMERS} union all {_CUSTOMERS.replace('clientes_brutos', 'clientes_corrigidos')}),
+novas as (select * from todas qualify row_number() over (partition by id_cliente order by updated_at desc) = 1)
+select * from novas where {_GOOD_CUSTOMER}
+qualify row_number() over (partition by cpf order by updated_at desc, id_cliente desc) = 1"""
+_SQL["fk_late_parents"] = """
+select *, concat_ws(',', case when id_cliente % 10 = 3 and id_cliente % 20 <> 3 then 'id_cliente' end,
+  case when id_cupom % 10 = 3 and id_cupom % 20 <> 13 then 'id_cupom' end) as faltam
+from {pedidos}"""
 _SQL["unique_rule_rejected"] = """
 select id_pagamento, id_pedido, updated_at, 'pagamento_duplicado_aprovado' as tipo_rejeicao
 from {pagamentos} where status_pagamento = 'aprovado'
@@ -446,6 +456,29 @@ select count(*) filter (a = 'new') as inserted, count(*) filter (a = 'changed')
   count(*) filter (a = 'new') + 2 * count(*) filter (a = 'changed') as rows_written
 from (select {_SCD} as a from {_SCD_PAIRS}) as x"""
 
+_PAST = "timestamp '1998-06-15 00:00:00'"
+_SQL["scd2_backdated"] = f"""
+with estado as ({_SQL["scd2_apply"]}),
+mudancas as (
+  select id_cliente as k, nome, concat(cidade, ' 0') as cidade, {_PAST} as desde from {{clientes}} where id_cliente % 4 = 0
+  union all select id_cliente, nome, cidade, timestamp '1997-01-01 00:00:00' from {{clientes}} where id_cliente % 9 = 0
+  union all select id_cliente, nome, concat(cidade, ' 3'), {_AT} from {{clientes}} where id_cliente % 6 = 0 and id_cliente % 4 <> 0
+  union all select id_cliente + 2000000000, nome, cidade, {_BEGIN} from {{clientes}} where id_cliente % 50 = 1),
+inicios as (
+  select cliente_key as k, nome, cidade, dw_valid_from as desde, dw_valid_to as ate, cliente_sk as sk, 0 as tipo from estado
+  union all select k, nome, cidade, desde, null, null, 1 from mudancas),
+um as (
+  select k, desde, arg_max(nome, tipo) as nome, arg_max(cidade, tipo) as cidade, max(sk) as sk, max(ate) as ate,
+    max(case when tipo = 0 then cidade end) as era, bool_or(tipo = 0) as havia
+  from inicios group by k, desde),
+novos as (select * from um qualify havia or coalesce(cidade <> lag(cidade) over (partition by k order by desde), true)),
+fins as (select *, coalesce(lead(desde) over (partition by k order by desde), {_END}) as fim from novos)
+select k as cliente_key, nome, cidade, coalesce(sk, {_sk('k', 'desde')}) as cliente_sk, desde as dw_valid_from,
+  fim as dw_valid_to, fim = {_END} as dw_is_current,
+  case when k not in (select k from mudancas) then 'untouched' when havia and era <> cidade then 'replaced'
+    when havia and ate <> fim then 'expired' when havia then 'kept' when desde = {_BEGIN} then 'new' else 'changed' end as acao
+from fins"""
+
 _MOVED = "timestamp '1998-06-15 00:00:00'"
 
 
@@ -469,6 +502,7 @@ _SQL["pit_join"] = f"""
 select g.pagamento_key, g.cliente_key, g.data_pagamento, c.sk as cliente_sk
 from ({_SQL['fact_payments']}) as g
 {_as_of('c', _versions('clientes', 'id_cliente'), 'g.cliente_key', 'g.data_pagamento')}"""
+_SQL["pit_join_merge"] = _SQL["pit_join"]
 _SQL["gold_sales"] = f"""
 select v.venda_key, v.data_pedido, v.cliente_key, v.produto_key, v.cupom_key, v.receita_liquida,
   c.sk as cliente_sk, p.sk as produto_sk, u.sk as cupom_sk

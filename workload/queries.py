@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from camadas.operators import audit, history, quality, upsert
 from camadas.plans import bronze as bronze_plan
 from camadas.plans import gold, marts, silver, star
 from camadas.plans.extract import run_extract
+from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.session import apply_settings, materialize, scratch_dir
 from camadas.sources import bronze, csv_files, landing, synthetic
 from camadas.streaming import merge as stream_merges
@@ -534,6 +536,37 @@ def pit_join(s):
     return looked.select("pagamento_key", "cliente_key", "data_pagamento", "cliente_sk")
 
 
+@query
+def pit_join_merge(s):
+    """The same lookup by one ordering of events and versions; busy keys are split by time."""
+    looked = history.lookup_by_merge(
+        star.payments(s), _two_versions(s, "dim_cliente"), "cliente_key", "cliente_sk", "data_pagamento",
+        hot_events=8,
+    )
+    return looked.select("pagamento_key", "cliente_key", "data_pagamento", "cliente_sk")
+
+
+@query
+def scd2_backdated(s):
+    """Changes from 1998 that arrive after those of 2002: intervals are split, later versions stay."""
+    base = _customer_versions(s, "clientes")
+    moved = base.filter("cliente_key % 4 = 0").withColumn("cidade", F.concat("cidade", F.lit(" 0")))
+    again = base.filter("cliente_key % 9 = 0")  # says what held already: no change
+    same = base.filter("cliente_key % 6 = 0 and cliente_key % 4 <> 0").withColumn("cidade", F.concat("cidade", F.lit(" 3")))
+    new = base.filter("cliente_key % 50 = 1").withColumn("cliente_key", F.col("cliente_key") + 2000000000)
+
+    def since(rows, instant):
+        hashed = history.with_version_hash(rows.drop(history.VERSION_HASH), "cliente_key")
+        return hashed.withColumn("desde", F.to_timestamp(F.lit(instant)))
+
+    changes = [since(moved, EVENT_CHANGE), since(again, "1997-01-01 00:00:00"), since(same, CHANGE), since(new, EVENT_CHANGE)]
+    changes = reduce(DataFrame.unionByName, changes)
+    state = _customer_history(s).drop("_scd_action")
+    return history.apply_backdated(state, changes, "cliente_key", "cliente_sk", "desde").select(
+        "cliente_key", "nome", "cidade", "cliente_sk", "dw_valid_from", "dw_valid_to", "dw_is_current",
+        F.col("_scd_action").alias("acao"))
+
+
 @query
 def gold_sales(s):
     """The sales fact with the surrogates of three dimensions as of the order date."""
@@ -685,6 +718,35 @@ def stream_dedup(s):
     return sink.state.read().drop(stream_merges.HASH)
 
 
+def _lines(s, source, where="true"):
+    """Raw lines of a customer source, as one file of one ingest brought them."""
+    return _raw(s, "clientes", source).filter(where).select(
+        "raw_document", F.lit("a").alias(bronze.SOURCE_FILE), F.lit(RUN_AT).alias(bronze.INGESTED_AT))
+
+
+@query
+def silver_incremental(s):
+    """Curated customers after three batches, judged one after another: half, the rest, corrections."""
+    table = UniqueSilver(s.spark, scratch_dir(s.spark, "silver-incremental"), ENTITIES["clientes"], 16)
+    half = "xxhash64(raw_document) % 2 = 0"
+    for source, where in (("clientes_brutos", half), ("clientes_brutos", f"not ({half})"), ("clientes_corrigidos", "true")):
+        table.add(_lines(s, source, where))
+    return table.read()
+
+
+@query
+def fk_late_parents(s):
+    """Orders before some of their customers and coupons; late parents release what waits for them."""
+    rule = ENTITIES["pedidos"]
+    table = ParkedReferences(s.spark, scratch_dir(s.spark, "late-parents"), rule, 16)
+    table.add(s["pedidos"], {"clientes": s["clientes_parciais"], "cupons": s["cupons_parciais"]})
+    table.new_parents({"clientes": s["clientes"].filter("id_cliente % 20 = 3")})
+    table.new_parents({"cupons": s["cupons"].filter("id_cupom % 20 = 13")})
+    done = table.curated.read().withColumn("faltam", F.lit(""))
+    parked = table.parked.read().withColumn("faltam", F.array_join("_missing", ",")).drop("_missing")
+    return done.unionByName(parked)
+
+
 @query
 def csv_typed_scan(s):
     root = scratch_dir(s.spark, "csv")

@@ -176,6 +176,15 @@ SHOP: dict[str, str] = {
           case when id_cliente % 79 = 0 then 'B1' else lower(estado) end as estado, cep,
           data_cadastro, updated_at
         from {clientes}""",
+    # newer versions: most holders of the shared cpf leave it, others join a held one or turn invalid
+    "clientes_corrigidos": """
+        select id_cliente, nome,
+          case when id_cliente % 97 = 0 then 'no-mail' else email end as email,
+          case when id_cliente % 3 = 0 then lpad(cast(id_cliente + 90000000000 as string), 11, '0')
+            when id_cliente % 7 = 0 then '00000000001' else lpad(cast(id_cliente + 1 as string), 11, '0') end as cpf,
+          telefone, data_nascimento, genero, logradouro, cidade, estado, cep, data_cadastro,
+          updated_at + interval 1 day as updated_at
+        from {clientes} where id_cliente % 365 >= 300 or id_cliente % 11 = 0""",
     # parents with gaps, so that some references dangle
     "clientes_parciais": "select * from {clientes} where id_cliente % 10 <> 3",
     "cupons_parciais": "select * from {cupons} where id_cupom % 10 <> 3",
