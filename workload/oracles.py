@@ -539,6 +539,7 @@ select *, date '2002-01-01' as dia_extracao,
   case when id_pedido % 3 <> 0 then 'c1' else 'c2' end as carga
 from {pedidos}"""
 _SQL["stream_ingest"] = _SQL["bronze_ingest"]
+_SQL["ledger_incremental"] = "select * from {pedidos} where id_pedido % 5 > 1"
 _SQL["stream_merge"] = f"select * exclude (acao) from ({_SQL['merge_upsert']}) as m"
 _SQL["stream_dedup"] = "select * from {pedidos}"
 _SQL["csv_typed_scan"] = """

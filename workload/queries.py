@@ -20,6 +20,7 @@ from camadas.plans.extract import run_extract
 from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.session import apply_settings, materialize, scratch_dir
 from camadas.sources import bronze, csv_files, landing, synthetic
+from camadas.sources.tables import append
 from camadas.streaming import merge as stream_merges
 from camadas.streaming.ingest import ingest_available
 from workload.shop import Shop
@@ -671,6 +672,26 @@ def bronze_ingest(s):
     return _decode_bronze(s.spark.read.parquet(f"{root}/bronze/shop/pedidos"), "pedidos")
 
 
+@query
+def ledger_incremental(s):
+    """Files the ledger lacks, from the listing and the ledger's folders of those days, after a run that died
+    between its append and its ledger entry: only the third batch is new."""
+    root = scratch_dir(s.spark, "ledger")
+    for run, where in (("r1", "id_pedido % 5 = 0"), ("r2", "id_pedido % 5 = 1"), ("r3", "id_pedido % 5 > 1")):
+        _land(s, root, run, "pedidos", "pedidos", where)
+        ledger = bronze_plan.FileLedger(s.spark, root, "shop", "pedidos")
+        lines = bronze_plan.pending_lines(ledger, f"{root}/landing/shop/pedidos") if run != "r1" else None
+        if run == "r1":
+            bronze_plan.ingest(s.spark, root, "shop", "pedidos", "c1", RUN_AT, RUN_AT)
+        elif run == "r2":
+            day = RUN_AT.date()
+            ledger.open(day, "c2")
+            append(bronze.with_lineage(lines, "c2", F.lit(RUN_AT), day), ledger.table, [bronze.PARTITION])
+    ledger.recover()
+    new = bronze_plan.pending_lines(ledger, f"{root}/landing/shop/pedidos")
+    return decode(new.select("raw_document"), ENTITIES["pedidos"]).drop("raw_document")
+
+
 @query
 def stream_ingest(s):
     """The same two batches through the streaming file source, in two runs of one checkpoint."""
