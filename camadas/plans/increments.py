@@ -18,8 +18,7 @@ from camadas.contracts import Entity
 from camadas.operators import quality
 from camadas.plans.silver import INGESTED_AT, NEWEST, SOURCE_FILE, newest_versions
 from camadas.session import staged
-from camadas.sources.state import KeyedState, offered
-from camadas.sources.tables import exists, remove
+from camadas.sources.state import Journal, KeyedState, offered
 
 
 def _curated_type(entity: Entity) -> list[T.StructField]:
@@ -50,7 +49,7 @@ class UniqueSilver:
         rank = T.StructType([rows[c] for c in (*NEWEST, entity.key, "_key")])
         self.values = KeyedState(spark, f"{path}/values", "_value", T.StructType([
             T.StructField("_value", T.StringType()), T.StructField("_winner", rank)]), buckets)
-        self.pending = f"{path}/pending"
+        self.journal = Journal(spark, f"{path}/pending", self._put)
 
     def read(self) -> DataFrame:
         return self.candidates.read().filter("_ok and not _lost").select(*self.entity.columns)
@@ -69,7 +68,7 @@ class UniqueSilver:
 
     def add(self, raw: DataFrame) -> dict:
         """Bring the table up to date with a batch of raw lines; a repeated batch changes nothing."""
-        self.complete()
+        self.journal.complete()
         newest = newest_versions(raw, self.entity)
         judged = newest.withColumn("_ok", quality.is_valid(self.entity)).withColumn("_value", self._value())
         with staged(judged.withColumn("_lost", F.lit(False)).select(*self.candidates.columns), "unique-batch") as batch:
@@ -118,28 +117,19 @@ class UniqueSilver:
             with staged(flips, "unique-flips") as flips:
                 old = self.candidates.matching(flips, flips.count(), *self.candidates.columns).join(flips, "_key")
                 flipped = old.filter(F.col("_lost") != F.col("_now")).withColumn("_lost", F.col("_now"))
+                n_flipped = flipped.count()
                 winners = values.select("_value", F.col("_next._key").alias("_won"))
                 fresh = changed.join(winners, "_value", "left").withColumn(
                     "_lost", F.coalesce(F.col("_key") != F.col("_won"), F.lit(False)))
                 rows = fresh.select(*self.candidates.columns).unionByName(flipped.select(*self.candidates.columns))
                 index = values.select("_value", F.col("_next").alias("_winner"))
-                for name, frame in (("rows", rows), ("index", index), ("ready", self.spark.range(1))):
-                    frame.write.mode("overwrite").parquet(f"{self.pending}/{name}")
-        flipped = self.complete() - n
-        return {"changed": n, "searched": n_searched, "flipped": flipped}
-
-    def complete(self) -> int:
-        """Put pending rows in place, if there are any; returns how many candidates they are."""
-        if not exists(self.spark, f"{self.pending}/ready"):
-            return 0
-        index = self.spark.read.schema(self.values.schema).parquet(f"{self.pending}/index")
-        rows = self.spark.read.schema(self.candidates.schema).parquet(f"{self.pending}/rows")
-        count = rows.count()
+                self.journal.put(rows=rows, index=index)
+                return {"changed": n, "searched": n_searched, "flipped": n_flipped}
+
+    def _put(self, frames: dict[str, DataFrame]) -> None:
+        index = frames["index"]
         self.values.change(index.filter("_winner is not null"), index.filter("_winner is null").select("_value"))
-        self.candidates.change(rows)
-        remove(self.spark, f"{self.pending}/ready")
-        remove(self.spark, self.pending)
-        return count
+        self.candidates.change(frames["rows"])
 
 
 class ParkedReferences:

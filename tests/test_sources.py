@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from camadas.contracts import Entity
 from camadas.entities import ENTITIES
 from camadas.sources import bronze, csv_files, landing, synthetic
-from camadas.sources.tables import StateTable, append, changed_parts, read_or_none, table_path
+from camadas.sources.tables import FolderTable, append, changed_parts, read_or_none, table_path
 from tests.conftest import plan, rows
 
 UTC = dt.timezone.utc
@@ -75,36 +75,25 @@ def test_extract_writes_files_and_advances(spark, tmp_path):
     assert not os.path.exists(results[0]["folder"])
 
 
-def test_state_table_versions_and_crash(spark, tmp_path):
-    t = StateTable(spark, str(tmp_path / "t"))
+def test_folder_table_replaces_only_named_partitions(spark, tmp_path):
+    t = FolderTable(spark, str(tmp_path / "t"), "ano")
     assert not t.exists()
     with pytest.raises(LookupError):
         t.read()
-    assert t.commit(spark.range(3)) == 1
-    assert t.commit(t.read().selectExpr("id + 10 as id")) == 2
-    assert rows(t.read()) == [(10,), (11,), (12,)] and rows(t.read(version=1)) == [(0,), (1,), (2,)]
-    # a writer died after its data, before its commit: readers do not see it, the next write succeeds
-    spark.range(99).write.parquet(str(tmp_path / "t/data/v=3"))
-    assert t.read().count() == 3 and t.commit(spark.range(1)) == 4 and t.read().count() == 1
-
-
-def test_state_table_rewrites_only_named_partitions(spark, tmp_path):
-    t = StateTable(spark, str(tmp_path / "t"), "ano")
-    t.commit(spark.range(30).select("id", (F.col("id") % 3 + 2020).alias("ano")))
-    t.commit(spark.sql("select 100L as id, 2021L as ano"), parts=[2021, 2022])
+    t.rewrite(spark.range(30).selectExpr("id", "nullif(id % 3 + 2020, 2022) as ano"))
+    before = sorted(os.listdir(tmp_path / "t/ano=2020"))
+    t.rewrite(spark.sql("select 100L as id, 2021L as ano"), [2021, None])
     assert rows(t.read().groupBy("ano").count()) == [(2020, 10), (2021, 1)]
-    assert sorted(os.listdir(tmp_path / "t/data/v=2"))[-1] == "ano=2021"
-    assert t.read(parts=[2021]).count() == 1 and t.read(parts=[1999]).count() == 0
-    assert t.read(version=1).count() == 30
-    t.commit(spark.sql("select 1L as id, 2030L as ano"))
-    assert rows(t.read()) == [(1, 2030)]
+    assert sorted(os.listdir(tmp_path / "t/ano=2020")) == before
+    t.rewrite(t.read().filter(t.inside([2021])).selectExpr("id + 1 as id", "ano"), [2021])
+    assert rows(t.read().filter("ano = 2021")) == [(101, 2021)]
 
 
 def test_changed_parts_names_old_and_new_side(spark):
     actions = spark.createDataFrame(
-        [("updated", 1, 2), ("unchanged", 3, 3), ("deleted", 4, None), ("inserted", None, 5)],
+        [("updated", 1, 2), ("unchanged", 3, 3), ("deleted", 4, None), ("inserted", None, 5), ("updated", None, 1)],
         "_action string, _old_ano int, _new_ano int")
-    assert sorted(changed_parts(actions, "ano")) == [1, 2, 4, 5]
+    assert sorted(changed_parts(actions, "ano"), key=str) == [1, 2, 4, 5, None]
 
 
 def test_append_allows_new_columns(spark, tmp_path):

@@ -448,6 +448,7 @@ union all
 select new_key, new_nome, new_cidade, case when a = 'new' then {_sk('new_key', _BEGIN)}
   else {_sk('new_key', _AT)} end, case when a = 'new' then {_BEGIN} else {_AT} end, {_END}, true, a
 from pares where a in ('new', 'changed')"""
+_SQL["scd2_second_change"] = f"select * exclude (acao) from ({_SQL['scd2_apply']}) as v"
 _SQL["scd2_metrics"] = f"""
 select count(*) filter (a = 'new') as inserted, count(*) filter (a = 'changed') as updated,
   count(*) filter (a = 'unchanged') as unchanged, 0::bigint as deleted,

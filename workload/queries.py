@@ -508,6 +508,18 @@ def scd2_apply(s):
     )
 
 
+@query
+def scd2_second_change(s):
+    """The stored dimension after its first load and a change: closed versions are only added."""
+    store = gold.Dimension(s.spark, f"{scratch_dir(s.spark, 'dimension')}/dim_cliente", "cliente_key")
+    first = history.first_versions(_customer_versions(s, "clientes"), "cliente_key", "cliente_sk")
+    change = F.to_timestamp(F.lit(CHANGE))
+    store.apply(materialize(first, "dimension-first"), "cliente_sk", change, "r1")
+    store.apply(_customer_versions(s, "clientes_depois"), "cliente_sk", change, "r2")
+    return store.read().select(
+        "cliente_key", "nome", "cidade", "cliente_sk", "dw_valid_from", "dw_valid_to", "dw_is_current")
+
+
 @query
 def scd2_metrics(s):
     first = history.first_versions(_customer_versions(s, "clientes"), "cliente_key", "cliente_sk")
