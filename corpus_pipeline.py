@@ -12,45 +12,55 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from camadas.llm import decontaminate, mixing, neardup, quality, tokens
-from camadas.llm.common import fold, table
+from camadas.llm.common import fold, table, unused, with_row_key
 from camadas.llm.queries import BYTE_BPE
 from camadas.session import materialize
 
 
-def _key() -> Column:
-    """The id of a row; rows without one are told apart by their text."""
-    return F.coalesce("doc_id", F.xxhash64("text"))
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(_key().alias("doc_id"), *[c for c in docs.columns if c != "doc_id"])
+def _keyed(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame, str]:
+    """The rows with a key of their own, the documents an operator sees under that key, and its name."""
+    key = unused("row_key", docs)
+    rows = with_row_key(docs, key)
+    return rows, rows.select(F.col(key).alias("doc_id"), "text", *more), key
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; all of them where it has nothing to learn from.
+
+    Every row is judged by its own text; null and empty texts have the score of no statistics.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4, 2), 0.7)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id, once."""
-    kept = neardup.near_duplicates(_keyed(docs)).where("kept").select(F.col("doc_id").alias("kept_key")).distinct()
-    rows = docs.withColumn("kept_key", _key()).join(kept, "kept_key", "left_semi")
-    return rows.dropDuplicates(["kept_key"]).select(*docs.columns)
+    """One document of each group of near-duplicates: the one with the smallest id, once.
+
+    Different texts with one id, and texts without an id, are documents of their own; rows that agree in id
+    and text are one. Texts without words are in no group.
+    """
+    rows, texts, key = _keyed(docs)
+    kept = neardup.near_duplicates(texts).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(kept, key, "left_semi").dropDuplicates([key]).select(*_columns(docs))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontaminate.find_leaks(_keyed(docs), table(spark, sf_dir, "benchmark")).select(
-        F.col("doc_id").alias("leak_key")).distinct()
-    return docs.join(leaks, _key() == leaks["leak_key"], "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item, row by row; null and empty texts hold none."""
+    rows, texts, key = _keyed(docs)
+    leaks = decontaminate.find_leaks(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(leaks, key, "left_anti").select(*_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture takes it."""
-    taken = mixing.mix(_keyed(docs)).where("taken > 0").groupBy(F.col("doc_id").alias("mix_key")).agg(
-        F.max("copies").alias("mix_copies"))
-    rows = docs.join(taken, _key() == taken["mix_key"])
-    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    """Every document as often as the mixture takes it; documents without words are never taken."""
+    rows, texts, key = _keyed(docs, "source")
+    copies, number = unused("mix_copies", rows), unused("mix_number", rows)
+    taken = mixing.mix(texts).where("taken > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    times = F.sequence(F.lit(1), F.col(copies).cast("int"))
+    return rows.join(taken, key).withColumn(number, F.explode(times)).select(*_columns(docs))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
