@@ -101,7 +101,9 @@ class BitSlices:
     def top(self, queries: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """(query, id, score) of the k best rows of the block for every query, itself excluded."""
         total = self.sums(queries)
-        reach = min(k + 1, self.rows)  # the query itself may be among them
+        # the rows of a query's own id may all be among the best
+        own, times = np.unique(ids[np.isin(ids, query_ids)], return_counts=True)
+        reach = min(k + (int(times.max()) if len(own) else 0), self.rows)
         if total:
             # a dropped remainder is below 2^drop in every component
             slack = np.abs(queries).sum(axis=1) * ((1 << self.drop) - 1)
@@ -121,7 +123,7 @@ class BitSlices:
 
 
 def integers(vectors: Column) -> Column:
-    return F.transform(vectors, lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
+    return F.transform(vectors, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -142,10 +144,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
 
     Vectors that are null, empty or hold a null or non-finite component take no part, nor do null ids.
     Vectors of another length than a query's are compared with queries of their length only. A repeated id
-    counts as several candidates, and as several queries of one id whose best rows are merged. No rows give no rows; other columns are ignored.
+    counts as several candidates; as a query equal rows of an id ask once, and the best rows of different ones are merged. No rows give no rows; other columns are ignored.
     """
     index = usable(vectors, id_column, vector_column)
-    queries = index.where(is_query)
+    queries = index.where(is_query).dropDuplicates(["vec_id", "v"])
     n_blocks, n_queries = max(1, -(-index.count() // BLOCK)), max(1, -(-queries.count() // QUERIES))
     mixed = F.xxhash64("vec_id")
     width = F.size("v").alias("width")
