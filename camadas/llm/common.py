@@ -20,6 +20,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """The name, or a longer one where a column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """Rows with a key of their own: the id where it names one text, else a hash.
+
+    Of several texts with one id the one whose hash is least keeps the id; the others, and rows without an id,
+    get 61 bits of a hash of id and text above 2^62. Rows that agree in both have one key. Only ids are
+    grouped; the join back meets the few ids that name several texts.
+    """
+    mark, shared, least = unused("mark", docs), unused("shared_id", docs), unused("least_mark", docs)
+    marked = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
+    several = marked.where("doc_id is not null").groupBy(F.col("doc_id").alias(shared)).agg(
+        F.min(mark).alias(least), F.max(mark).alias("most")).where(F.col(least) != F.col("most")).drop("most")
+    own = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col(mark)).bitwiseAND((1 << 61) - 1) + (1 << 62)
+    key = F.when(F.col("doc_id").isNull() | (F.col(mark) != F.col(least)), own).otherwise(F.col("doc_id"))
+    return marked.join(several, F.col("doc_id") == F.col(shared), "left").select(
+        *(F.col(f"`{c}`") for c in docs.columns), key.alias(name))
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -152,14 +152,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, threshol
 
 def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7,
               max_labels: int = MAX_LABELS) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns, decided row by row."""
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns, decided row by row.
+
+    Without labels of both classes nothing is known against any row, and all are kept.
+    """
     described = materialize(describe(docs), "quality-statistics")
     model = fit(described, label_sample(labels, "quality", held_out, max_labels))
+    if model.features is None:
+        return docs
+    # Columns by number on the way through Arrow, whatever they are called.
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    text = plain[docs.columns.index("text")]
 
     def make(batch: pa.RecordBatch) -> dict:
-        found = pd.Series([np.asarray(statistics(t), "f4") for t in batch.column("text").to_pylist()])
-        return {"quality_score": np.clip(model(found), 0.0, 1.0)}
+        found = pd.Series([np.asarray(statistics(t), "f4") for t in batch.column(text).to_pylist()])
+        return {"score": np.clip(model(found), 0.0, 1.0)}
 
-    plain = docs.drop("quality_score")
-    scored = through(plain, make, "quality_score double", keep=tuple(plain.columns))
-    return scored.where(F.col("quality_score") >= threshold).select(*plain.columns)
+    scored = through(docs.toDF(*plain), make, "score double", keep=tuple(plain))
+    return scored.where(F.col("score") >= threshold).select(*plain).toDF(*docs.columns)
