@@ -98,7 +98,12 @@ def day_bounds(tables: Tables) -> DataFrame:
 
 def calendar(tables: Tables) -> DataFrame:
     """Every day between the first and the last one seen, with its attributes."""
-    span = day_bounds(tables).agg(F.min("primeiro").alias("a"), F.max("ultimo").alias("b"))
+    return calendar_between(day_bounds(tables))
+
+
+def calendar_between(bounds: DataFrame) -> DataFrame:
+    """Every day from the first ``primeiro`` to the last ``ultimo``."""
+    span = bounds.agg(F.min("primeiro").alias("a"), F.max("ultimo").alias("b"))
     days = span.select(F.explode(F.expr("sequence(a, b, interval 1 day)")).alias("_day"))
     return days.select(*(c.alias(n) for n, c in calendar_columns("_day").items()))
 

@@ -586,4 +586,59 @@ qualify g.status_pagamento <> 'aprovado' or row_number() over (
   partition by g.id_pedido, g.status_pagamento
   order by g.data_pagamento desc, g.id_pagamento desc) = 1"""
 
+
+# --- the second cycle -----------------------------------------------------------------------------
+
+
+def _final(sql: str) -> str:
+    """The same query over what is known after the second batch."""
+    for entity in ("clientes", "categorias", "fornecedores", "produtos", "cupons", "pedidos", "itens_pedido",
+                   "pagamentos", "entregas", "avaliacoes"):
+        sql = sql.replace(f"{{{entity}}}", f"{{{entity}_fim}}")
+    return sql
+
+
+def _loaded_twice(sql: str, key: str, content: str) -> str:
+    """Versions after two loads: (k, c, sk, since, until)."""
+    before, after = (f"(select {key} as k, {content} as c from ({q}) as x)" for q in (sql, _final(sql)))
+    return f"""(
+      select a.k, b.c, {_sk('a.k', _BEGIN)} as sk, {_BEGIN} as since,
+        case when b.c <> a.c then {_MOVED} else {_END} end as until
+      from {after} as a join {before} as b using (k)
+      union all select a.k, a.c, {_sk('a.k', _MOVED)}, {_MOVED}, {_END}
+      from {after} as a join {before} as b using (k) where b.c <> a.c
+      union all select a.k, a.c, {_sk('a.k', _BEGIN)}, {_BEGIN}, {_END}
+      from {after} as a anti join {before} as b using (k))"""
+
+
+_TWICE = {
+    "dim_cliente": _loaded_twice(_SQL["dim_customer"], "cliente_key", "cidade"),
+    "dim_produto": _loaded_twice(
+        _SQL["dim_product"], "produto_key", "concat_ws('|', preco, descricao_categoria, estado_fornecedor)"),
+    "dim_cupom": _loaded_twice(_SQL["dim_coupon"], "cupom_key", "cast(ativo as varchar)"),
+}
+
+
+def _fact_twice(model: str, sql: str, key: str, event: str, content: str, *dims: str) -> str:
+    names = {"dim_cliente": "cliente_key", "dim_produto": "produto_key", "dim_cupom": "cupom_key"}
+    joins = " ".join(_as_of(f"d{i}", _TWICE[d], f"v.{names[d]}", f"v.{event}") for i, d in enumerate(dims))
+    keys = ", ".join(f"coalesce(d{i}.sk, '-')" for i in range(len(dims)))
+    return (f"select '{model}' as modelo, v.{key} as chave, concat_ws('|', {content}) as conteudo,"
+            f" concat_ws('|', {keys}) as surrogados, null::boolean as atual from ({_final(sql)}) as v {joins}")
+
+
+_PAID_ONCE = f"""select * from ({_SQL['fact_payments']}) as g
+qualify g.status_pagamento <> 'aprovado' or row_number() over (
+  partition by g.id_pedido, g.status_pagamento order by g.data_pagamento desc, g.id_pagamento desc) = 1"""
+_SQL["layered_second_run"] = " union all ".join([
+    f"select 'dim_tempo' as modelo, data_key as chave, ano_mes as conteudo, '' as surrogados, null::boolean as atual"
+    f" from ({_final(_SQL['dim_calendar'])}) as t",
+    *(f"select '{m}', k, c, sk, until = {_END} from {v}" for m, v in _TWICE.items()),
+    _fact_twice("fato_vendas", _SQL["fact_sales"], "venda_key", "data_pedido", "ano, quantidade, status_pedido, data_pedido",
+                "dim_cliente", "dim_produto", "dim_cupom"),
+    _fact_twice("fato_pagamentos", _PAID_ONCE, "pagamento_key", "data_pagamento", "ano, valor, status_pagamento", "dim_cliente"),
+    _fact_twice("fato_entregas", _SQL["fact_deliveries"], "entrega_key", "data_envio", "ano, prazo_previsto_dias", "dim_cliente"),
+    _fact_twice("fato_avaliacoes", _SQL["fact_reviews"], "avaliacao_key", "data_avaliacao", "ano, nota", "dim_cliente", "dim_produto"),
+])
+
 ORACLES: dict[str, str] = {name: with_shop(sql) for name, sql in _SQL.items()}

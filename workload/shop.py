@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from camadas.entities import ENTITIES
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _LINE = (
@@ -210,6 +212,48 @@ SHOP: dict[str, str] = {
         from {clientes} where id_cliente % 50 = 0""",
 }
 
+# --- a second cycle: changes of all ten collections, and rows that the first load lacked -------------
+# ``<entity>_2`` is the second batch, ``<entity>_fim`` what is known after it. The first load is what is not HELD.
+HELD = "id_pedido % 16 = 5"
+
+
+def _second(table: str, where: str, **changed: str) -> str:
+    changed["updated_at"] = "updated_at + interval 40 year"
+    columns = (f"{changed[c]} as {c}" if c in changed else c for c in ENTITIES[table].columns)
+    return f"select {', '.join(columns)} from {{{table}}} where {where}"
+
+
+def _after(table: str) -> str:
+    key, columns = ENTITIES[table].key, ", ".join(ENTITIES[table].columns)
+    return (f"select {columns} from {{{table}}} where {key} not in (select {key} from {{{table}_2}})"
+            f" union all select {columns} from {{{table}_2}}")
+
+
+SHOP |= {
+    "clientes_2": _second("clientes", "id_cliente % 6 = 0", cidade="concat(cidade, ' 2')") + " union all " + _second(
+        "clientes", "id_cliente % 50 = 0", id_cliente="id_cliente + 1000000000", cpf="concat('9', substr(cpf, 2))"),
+    "categorias_2": _second("categorias", "id_categoria % 7 = 0", descricao="concat(descricao, ' 2')"),
+    "fornecedores_2": _second("fornecedores", "id_fornecedor % 9 = 0", estado="'ZZ'"),
+    "produtos_2": _second("produtos", "id_produto % 50 = 0", preco="cast(preco + 1 as decimal(18,2))"),
+    "cupons_2": _second("cupons", "id_cupom % 5 = 0", ativo="not ativo"),
+    "pedidos_2": _second(
+        "pedidos", f"id_pedido % 24 = 0 or {HELD}", status="case when id_pedido % 24 = 0 then 'cancelado' else status end",
+        data_pedido="case when id_pedido % 48 = 0 then data_pedido + cast(400 as int) else data_pedido end"),
+    "itens_pedido_2": _second(
+        "itens_pedido", f"id_item % 20 = 0 or {HELD}",
+        quantidade="case when id_item % 20 = 0 then quantidade + 1 else quantidade end"),
+    "pagamentos_2": _second(
+        "pagamentos", f"id_pagamento % 30 = 7 or {HELD}",
+        valor="case when id_pagamento % 30 = 7 then cast(valor + 1 as decimal(18,2)) else valor end"),
+    "entregas_2": _second(
+        "entregas", f"id_entrega % 25 = 0 or {HELD}",
+        data_entrega_prevista="data_entrega_prevista + cast(case when id_entrega % 25 = 0 then 1 else 0 end as int)"),
+    "avaliacoes_2": _second(
+        "avaliacoes", f"id_avaliacao % 15 = 0 or {HELD}",
+        nota="case when id_avaliacao % 15 = 0 then 6 - nota else nota end"),
+}
+SHOP |= {f"{t}_fim": _after(t) for t in ENTITIES}
+
 _HASH = {
     "spark": "cast(conv(substr(md5({0}), 1, 15), 16, 10) as bigint)",
     "duckdb": "cast(concat('0x', substr(md5({0}), 1, 15)) as bigint)",
