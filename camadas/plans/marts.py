@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,10 @@ from camadas.plans.star import DISCOUNT, GROSS, ON_TIME
 
 Tables = Mapping[str, DataFrame]
 
-# Output columns of the flat sales table, as Spark SQL expressions.
+FLAT_SOURCES = (
+    "pedidos", "clientes", "cupons", "pagamentos", "entregas", "itens_pedido", "produtos", "categorias",
+)
+# Output column names of the flat sales table.
 FLAT_SALES = {
     "id_item": "id_item",
     "id_pedido": "id_pedido",
@@ -109,6 +113,31 @@ def dashboard_filter(
     return flat
 
 
+def in_months(column: str, months: Sequence[str]) -> Column:
+    """Whether a date lies in one of the months (yyyy-MM), as date ranges that scans can prune by."""
+    numbers = sorted({int(m[:4]) * 12 + int(m[5:7]) - 1 for m in months})
+    starts = [n for n in numbers if n - 1 not in numbers]
+    ends = [n + 1 for n in numbers if n + 1 not in numbers]
+
+    def first_day(n: int) -> Column:
+        return F.lit(f"{n // 12:04d}-{n % 12 + 1:02d}-01").cast("date")
+
+    ranges = [(F.col(column) >= first_day(a)) & (F.col(column) < first_day(b)) for a, b in zip(starts, ends)]
+    return reduce(Column.__or__, ranges)
+
+
+def dashboard_sales(
+    t: Tables, columns: Sequence[str], months=None, categories=None, states=None, methods=None
+) -> DataFrame:
+    """The flat table under the dashboard's filters, months applied to the orders before any join.
+
+    The other filters compare looked-up columns; Spark moves them to the looked-up side by itself.
+    """
+    if months:
+        t = {**{n: t[n] for n in FLAT_SOURCES}, "pedidos": t["pedidos"].filter(in_months("data_pedido", months))}
+    return dashboard_filter(flat_sales(t, columns), None, categories, states, methods)
+
+
 def headline(flat: DataFrame) -> DataFrame:
     """Revenue, orders, average ticket and share of delivered orders.
 
@@ -138,6 +167,14 @@ def top_products(flat: DataFrame, n: int = 10) -> DataFrame:
     return sold.orderBy(F.col("quantidade").desc(), "produto").limit(n)
 
 
+def best_sellers(t: Tables, n: int = 10) -> DataFrame:
+    """``top_products`` of the flat table, with items summed per product id before names are joined."""
+    items = t["itens_pedido"].join(t["pedidos"].select("id_pedido"), "id_pedido", "left_semi")
+    sold = items.groupBy("id_produto").agg(F.sum("quantidade").alias("quantidade"))
+    names = t["produtos"].select("id_produto", F.col("nome_produto").alias("produto"))
+    return top_products(sold.join(names, "id_produto", "left"), n)
+
+
 def rows_per_year(fact: DataFrame) -> DataFrame:
     return fact.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas")).orderBy("ano")
 
@@ -166,32 +203,38 @@ def order_indicators(sales: DataFrame) -> DataFrame:
 def revenue_by_axis(sales: DataFrame, customer: DataFrame, product: DataFrame) -> DataFrame:
     """Net revenue by month, customer, product, brand, category and supplier in one pass.
 
-    Sales are folded to (month, customer, product) before anything is joined or expanded, so the
-    joins and the grouping sets work on the fold, not on the fact.
+    The fact is summed by month, by customer key and by product key, combined in every map task, so what
+    is shuffled are keys. Names meet these sums, not the fact: one join on (kind, key), in which no key
+    is hot, and the axes of a product are taken from its one sum.
     """
-    folded = (
-        sales.groupBy(
-            F.date_format("data_pedido", "yyyy-MM").alias("mes"), "cliente_key", "produto_key"
-        ).agg(F.sum("receita_liquida").alias("net"))
-    )
-    who = customer.select("cliente_key", F.col("nome").alias("cliente"))
-    what = product.selectExpr(
-        "produto_key", "nome_produto as produto", "marca", "nome_categoria as categoria",
-        "nome_fornecedor as fornecedor",
+    month, who, what = 0, 1, 2
+    axes = {who: ("cliente",), what: ("produto", "marca", "categoria", "fornecedor")}
+    keys = sales.select(
+        F.date_format("data_pedido", "yyyy-MM").alias("_mes"), "cliente_key", "produto_key", "receita_liquida"
     )
-    axes = ["mes", "cliente", "produto", "marca", "categoria", "fornecedor"]
-    named = folded.join(who, "cliente_key", "left").join(what, "produto_key", "left")
-    grouped = named.groupingSets([[F.col(a)] for a in axes], *map(F.col, axes)).agg(
-        F.sum("net").alias("receita_liquida"), F.grouping_id().alias("_set")
+    sets = [[F.col(c)] for c in ("_mes", "cliente_key", "produto_key")]
+    sums = keys.groupingSets(sets, "_mes", "cliente_key", "produto_key").agg(
+        F.sum("receita_liquida").alias("_net"), F.grouping_id().alias("_set")
     )
-    label = F.lit(None).cast("string")
-    value = F.lit(None).cast("string")
-    full = (1 << len(axes)) - 1
-    for i, axis in reversed(list(enumerate(axes))):
-        mine = F.col("_set") == full - (1 << (len(axes) - 1 - i))
-        label = F.when(mine, axis).otherwise(label)
-        value = F.when(mine, F.col(axis)).otherwise(value)
-    return grouped.select(label.alias("eixo"), value.alias("valor"), "receita_liquida")
+    kind = F.when(F.col("_set") == 0b011, month).when(F.col("_set") == 0b101, who).otherwise(what)
+    sums = sums.select(kind.alias("_kind"), F.coalesce("cliente_key", "produto_key").alias("_key"), "_mes", "_net")
+
+    def pairs(kind: int, values: Sequence[Column]) -> Column:
+        return F.array(*(F.struct(F.lit(a).alias("eixo"), v.cast("string").alias("valor")) for a, v in zip(axes[kind], values)))
+
+    nothing = [F.lit(None)] * 4
+    names = customer.select(
+        F.lit(who).alias("_kind"), F.col("cliente_key").alias("_key"), pairs(who, [F.col("nome")]).alias("_pairs")
+    ).unionByName(product.select(
+        F.lit(what).alias("_kind"), F.col("produto_key").alias("_key"),
+        pairs(what, [F.col(c) for c in ("nome_produto", "marca", "nome_categoria", "nome_fornecedor")]).alias("_pairs"),
+    ))
+    months = F.array(F.struct(F.lit("mes").alias("eixo"), F.col("_mes").alias("valor")))
+    unnamed = F.when(F.col("_kind") == month, months).when(F.col("_kind") == who, pairs(who, nothing)).otherwise(
+        pairs(what, nothing))
+    named = sums.join(names, ["_kind", "_key"], "left").select(
+        F.inline(F.coalesce("_pairs", unnamed)), "_net")
+    return named.groupBy("eixo", "valor").agg(F.sum("_net").alias("receita_liquida"))
 
 
 def payment_indicators(payments: DataFrame) -> DataFrame:

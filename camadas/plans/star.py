@@ -24,7 +24,7 @@ CALENDAR_DAYS = {
     "entregas": ("data_envio", "data_entrega_prevista", "data_entrega_real"),
     "avaliacoes": ("data_avaliacao",),
 }
-# Output columns and measures of the models, as Spark SQL expressions.
+# Output column names of the models.
 CUSTOMER = (
     "id_cliente as cliente_key", "nome", "genero", "data_nascimento", "cidade", "estado",
     "data_cadastro",
@@ -176,5 +176,29 @@ def link_dimensions(fact: DataFrame, model: str, dimensions: Tables) -> DataFram
     return fact
 
 
+def linked(tables: Tables, model: str, dimensions: Tables) -> DataFrame:
+    """A fact with the surrogates of its dimensions.
+
+    Keys that sales take from the order are looked up while the data has order grain, so that only
+    the product lookup moves item rows.
+    """
+    if model != "fato_vendas":
+        return link_dimensions(BUILDERS[model](tables), model, dimensions)
+    header = {"dim_cliente": "id_cliente", "dim_cupom": "id_cupom"}
+    orders = tables["pedidos"].select("id_pedido", "data_pedido", "status", *header.values())
+    for name, column in header.items():
+        dim = MODELS[name]
+        keyed = orders.withColumn(dim.natural_key, F.col(column))
+        orders = lookup_as_of(keyed, dimensions[name], dim.natural_key, dim.key, "data_pedido", "id_pedido")
+        orders = orders.drop(dim.natural_key)
+    found = [MODELS[n].key for n in header]
+    joined = _with_order(tables["itens_pedido"], orders, "data_pedido", "status", *header.values(), *found)
+    sold, product = joined.selectExpr(*SALES, *found), MODELS["dim_produto"]
+    sold = lookup_as_of(
+        sold, dimensions["dim_produto"], product.natural_key, product.key, "data_pedido", MODELS[model].key)
+    keys = [MODELS[link.dimension].key for link in MODELS[model].links]
+    return sold.select(*(c for c in sold.columns if c not in keys), *keys)
+
+
 def with_record_hash(df: DataFrame, name: str = "_gold_record_hash") -> DataFrame:
     return df.withColumn(name, digest(df.columns))

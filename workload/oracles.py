@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from camadas.sources.synthetic import BAD, GOOD, NEUTRAL
 from workload.shop import with_shop
 
 _SQL: dict[str, str] = {}
@@ -262,30 +263,54 @@ _SQL["quality_report"] = "select * from (" + " union all ".join(
 ) + ") as r where broken > 0"
 
 # the source-side contract sees the texts as they arrive, before any clean-up
-_DOCUMENT_RULES = {
-    "clientes": (
-        "id_cliente:required id_cliente:type nome:required nome:type email:required email:type"
-        " cpf:required cpf:type telefone:required telefone:type data_nascimento:required"
-        " data_nascimento:type genero:required genero:domain logradouro:required logradouro:type"
-        " cidade:required cidade:type estado:required estado:type estado:length cep:required"
-        " cep:type data_cadastro:required data_cadastro:type updated_at:required updated_at:type",
-        {"genero:domain": "genero not in ('M', 'F', 'Outro')", "estado:length": "length(estado) <> 2"},
-    ),
-    "pedidos": (
-        "id_pedido:required id_pedido:type id_cliente:required id_cliente:type"
-        " data_pedido:required data_pedido:type status:required status:domain"
-        " valor_total:required valor_total:type id_cupom:type updated_at:required updated_at:type",
-        {
-            "id_pedido:type": "id_pedido is null", "data_pedido:type": "data_pedido is null",
-            "status:domain": "status not in"
-            " ('pendente', 'processando', 'enviado', 'entregue', 'cancelado')",
-        },
-    ),
+_DOCUMENT_COLUMNS = {
+    "clientes": "id_cliente nome email cpf telefone data_nascimento genero logradouro cidade estado cep"
+    " data_cadastro updated_at",
+    "categorias": "id_categoria nome_categoria descricao updated_at",
+    "fornecedores": "id_fornecedor nome_fornecedor cnpj email telefone logradouro cidade estado cep updated_at",
+    "produtos": "id_produto nome_produto descricao preco estoque id_categoria id_fornecedor marca peso_kg updated_at",
+    "cupons": "id_cupom codigo desconto_percentual valor_minimo data_validade ativo updated_at",
+    "pedidos": "id_pedido id_cliente data_pedido status valor_total id_cupom updated_at",
+    "itens_pedido": "id_item id_pedido id_produto quantidade valor_unitario desconto_percentual subtotal updated_at",
+    "pagamentos": "id_pagamento id_pedido forma_pagamento status_pagamento valor data_pagamento parcelas updated_at",
+    "entregas": "id_entrega id_pedido status_entrega data_envio data_entrega_prevista data_entrega_real"
+    " transportadora codigo_rastreio updated_at",
+    "avaliacoes": "id_avaliacao id_pedido id_cliente id_produto nota comentario data_avaliacao updated_at",
 }
+_MAY_BE_ABSENT = (("pedidos", "id_cupom"), ("entregas", "data_entrega_real"))
+_ONE_OF = {
+    "genero": "'M', 'F', 'Outro'",
+    "status": "'pendente', 'processando', 'enviado', 'entregue', 'cancelado'",
+    "forma_pagamento": "'cartao_credito', 'cartao_debito', 'pix', 'boleto'",
+    "status_pagamento": "'aprovado', 'pendente', 'recusado', 'estornado'",
+    "status_entrega": "'pendente', 'em_transito', 'entregue', 'devolvido'",
+    "transportadora": "'Correios', 'JadLog', 'Total Express', 'Loggi', 'Azul Cargo', 'Latam Cargo', 'DHL', 'FedEx'",
+}
+_LIMITS = {
+    "nota": ("range", "nota not between 1 and 5"), "parcelas": ("range", "parcelas not between 1 and 12"),
+    "estado": ("length", "length(estado) <> 2"),
+}
+
+
+def _document_rules(table: str):
+    """(rule, condition under which it is broken); a null arrives as a JSON null, which is no absence."""
+    for c in _DOCUMENT_COLUMNS[table].split():
+        optional = (table, c) in _MAY_BE_ABSENT
+        if not optional:
+            yield f"{c}:required", "false"
+        if c in _ONE_OF:
+            yield f"{c}:domain", f"{c} not in ({_ONE_OF[c]})"
+        else:
+            yield f"{c}:type", "false" if optional else f"{c} is null"
+        if c in _LIMITS:
+            yield f"{c}:{_LIMITS[c][0]}", _LIMITS[c][1]
+
+
+_WITH_DEFECTS = ("clientes", "fornecedores", "pedidos", "pagamentos", "entregas", "avaliacoes")
 _SQL["schema_contract_report"] = " union all ".join(
-    f"select '{rule}' as rule, count(*) filter ({broken.get(rule, 'false')}) as broken,"
-    f" count(*) as checked from {{{table}_brutos}}"
-    for table, (rules, broken) in _DOCUMENT_RULES.items() for rule in rules.split()
+    f"select '{t}' as tabela, '{rule}' as rule, count(*) filter ({broken}) as broken, count(*) as checked"
+    f" from {{{t}{'_brutos' if t in _WITH_DEFECTS else ''}}}"
+    for t in _DOCUMENT_COLUMNS for rule, broken in _document_rules(t)
 )
 _SQL["key_uniqueness"] = """
 select id_pedido, count(*) as copies from {pedidos_brutos} where id_pedido is not null
@@ -580,6 +605,70 @@ select id as id_pagamento, {_draw('order', 1, 1000)} as id_pedido, {_METHOD} as
   cast({_PAID} + cast({_draw('updated_at', 0, 1 << 40)}
     % (greatest(date '2026-06-11' - ({_PAID}), 1) + 1) as int) as timestamp) as updated_at
 from (select o_orderkey + 1 as id from {{orders}}) as o"""
+
+
+def _changed(start: str) -> str:
+    return (f"cast({start} + cast({_draw('updated_at', 0, 1 << 40)}"
+            f" % (greatest(date '2026-06-11' - ({start}), 1) + 1) as int) as timestamp) as updated_at")
+
+
+def _day(name: str) -> str:
+    return f"date '2023-01-01' + cast({_draw(name, 0, 1257)} as int)"
+
+
+def _cents(amount: str) -> str:
+    return f"cast(cast({amount} as decimal(18,2)) / 100 as decimal(18,2))"
+
+
+def _choice(name: str, values) -> str:
+    texts = ", ".join(f"'{v}'" for v in values)
+    return f"[{texts}][cast({_draw(name, 1, len(values))} as int)]"
+
+
+_IDS = "(select o_orderkey + 1 as id from {orders}) as o"
+_LEFT = f"(100 - {_draw('discount', 0, 30)})"
+_SQL["synthetic_items"] = f"""
+select id as id_item, {_draw('order', 1, 1000)} as id_pedido, {_draw('product', 1, 200)} as id_produto,
+  {_draw('quantity', 1, 4)} as quantidade, {_cents(_draw('price', 990, 28990))} as valor_unitario,
+  cast({_draw('discount', 0, 30)} as decimal(5,2)) as desconto_percentual,
+  {_cents(f"(({_draw('quantity', 1, 4)} * {_draw('price', 990, 28990)} * {_LEFT} + 50) // 100)")} as subtotal,
+  cast({_day('updated_at')} as timestamp) as updated_at
+from {_IDS}"""
+_DUE = f"({_day('sent')}) + cast({_draw('lead', 3, 20)} as int)"
+_SENT_STATUS = _dice("status", {"pendente": 8, "em_transito": 23, "entregue": 95, "devolvido": 100})
+_SQL["synthetic_deliveries"] = f"""
+select id as id_entrega, {_draw('order', 1, 1000)} as id_pedido, {_SENT_STATUS} as status_entrega,
+  {_day('sent')} as data_envio, {_DUE} as data_entrega_prevista,
+  case {_SENT_STATUS} when 'entregue' then {_DUE} + cast({_draw('delay', -2, 5)} as int)
+    when 'devolvido' then {_DUE} + cast({_draw('return', 5, 15)} as int) end as data_entrega_real,
+  {_choice('carrier', ('Correios', 'JadLog', 'Total Express', 'Loggi', 'Azul Cargo', 'Latam Cargo', 'DHL', 'FedEx'))}
+    as transportadora,
+  concat(chr(cast({_draw('letter0', 65, 90)} as int)), chr(cast({_draw('letter1', 65, 90)} as int)),
+    lpad(cast({_draw('tracking', 0, 999999999)} as varchar), 9, '0'), 'BR') as codigo_rastreio,
+  {_changed(_day('sent'))}
+from {_IDS}"""
+_RATING = _dice("rating", {"1": 5, "2": 13, "3": 25, "4": 55, "5": 100})
+_SQL["synthetic_reviews"] = f"""
+select id as id_avaliacao, {_draw('order', 1, 1000)} as id_pedido, {_draw('customer', 1, 1000)} as id_cliente,
+  {_draw('product', 1, 200)} as id_produto, cast({_RATING} as bigint) as nota,
+  case when cast({_RATING} as bigint) >= 4 then {_choice('good', GOOD)}
+    when cast({_RATING} as bigint) = 3 then {_choice('neutral', NEUTRAL)} else {_choice('bad', BAD)} end as comentario,
+  {_day('reviewed')} as data_avaliacao, {_changed(_day('reviewed'))}
+from {_IDS}"""
+_SQL["append_evolution"] = """
+select id_pedido, id_cliente, data_pedido, status, valor_total, case when id_pedido % 2 = 1 then id_cupom end as id_cupom,
+  updated_at, year(data_pedido) as ano from {pedidos}"""
+_SQL["star_export"] = f"""
+select id_item, id_pedido, cast(data_pedido as timestamp) as data_pedido, ano_mes, cliente, produto, cupom,
+  forma_pagamento, status_entrega, quantidade, cast(receita_liquida as double) as receita_liquida
+from ({_FLAT}) as f"""
+_COUNTED = " union all ".join(
+    f"select '{t}' as tabela, count(*) as linhas from {{{t}}}" for t in _DOCUMENT_COLUMNS)
+_SQL["manifest_document"] = f"""
+select dag_id, 'r1' as run_id, '2002-01-01T06:00:00Z' as logical_date, layer, tabela, linhas,
+  (sum(linhas) over (partition by layer))::bigint as total
+from ({_COUNTED}) as c,
+  (values ('source_to_landing', 'landing'), ('landing_to_bronze', 'bronze')) as j(dag_id, layer)"""
 _SQL["layered_payments"] = f"""
 select g.*, {_sk('g.cliente_key', _BEGIN)} as cliente_sk from ({_SQL['fact_payments']}) as g
 qualify g.status_pagamento <> 'aprovado' or row_number() over (

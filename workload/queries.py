@@ -17,6 +17,7 @@ from camadas.operators import audit, history, quality, upsert
 from camadas.plans import bronze as bronze_plan
 from camadas.plans import gold, marts, silver, star
 from camadas.plans.carry import carry_changes
+from camadas.plans.export import FLAT_TABLE, export_star
 from camadas.plans.extract import run_extract
 from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.session import apply_settings, materialize, scratch_dir
@@ -24,7 +25,7 @@ from camadas.sources import bronze, csv_files, landing, synthetic
 from camadas.sources.tables import append
 from camadas.streaming import merge as stream_merges
 from camadas.streaming.ingest import ingest_available
-from workload.shop import HELD, Shop
+from workload.shop import HELD, SHOP, Shop
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,8 +144,8 @@ def kpi_filtered(s):
         "id_pedido", "receita_liquida", "status_entrega", "ano_mes", "categoria", "estado",
         "forma_pagamento",
     ]
-    chosen = marts.dashboard_filter(
-        marts.flat_sales(s, need), months=[f"1997-{m:02d}" for m in range(1, 13)],
+    chosen = marts.dashboard_sales(
+        s, need, months=[f"1997-{m:02d}" for m in range(1, 13)],
         categories=["ECONOMY", "STANDARD", "PROMO"], states=["BR", "AR", "CA", "UN", "NA"],
         methods=["pix", "boleto", "cartao_credito"],
     )
@@ -158,7 +159,7 @@ def revenue_by_month(s):
 
 @query
 def top_products(s):
-    return marts.top_products(marts.flat_sales(s, ["produto", "quantidade"]))
+    return marts.best_sellers(s)
 
 
 @query
@@ -218,13 +219,17 @@ def _decoded(s: Shop, table: str, source: str) -> DataFrame:
 
 
 def _candidates(s: Shop, table: str, source: str) -> DataFrame:
-    """The newest version of every key, by the curated layer's own rule; ``origem`` is the file."""
+    """The newest version of every key, by the curated layer's own rule; ``origem`` is the file.
+
+    Uniqueness reads its input twice, so candidates of tables with such a rule are written once.
+    """
     raw = _raw(s, table, source)
     origin = F.col("origem") if "origem" in raw.columns else F.lit("a")
     lines = raw.select(
         "raw_document", origin.alias(bronze.SOURCE_FILE), F.lit(RUN_AT).alias(bronze.INGESTED_AT)
     )
-    return silver.candidates(lines, ENTITIES[table], "run", RUN_AT)
+    found = silver.candidates(lines, ENTITIES[table], "run", RUN_AT)
+    return materialize(found, f"newest-{source}") if ENTITIES[table].unique else found
 
 
 @query
@@ -341,9 +346,13 @@ def quality_report(s):
 
 @query
 def schema_contract_report(s):
-    report = quality.document_report(_raw(s, "clientes", "clientes_brutos"), ENTITIES["clientes"])
-    orders = quality.document_report(_raw(s, "pedidos", "pedidos_brutos"), ENTITIES["pedidos"])
-    return report.unionByName(orders)
+    """The source-side contract of all ten collections, six of them with defects."""
+    reports = []
+    for name, entity in ENTITIES.items():
+        source = f"{name}_brutos" if f"{name}_brutos" in SHOP else name
+        report = quality.document_report(_raw(s, name, source), entity)
+        reports.append(report.select(F.lit(name).alias("tabela"), "*"))
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query
@@ -585,7 +594,7 @@ def scd2_backdated(s):
 def gold_sales(s):
     """The sales fact with the surrogates of three dimensions as of the order date."""
     dims = {m: _two_versions(s, m) for m in ("dim_cliente", "dim_produto", "dim_cupom")}
-    linked = star.link_dimensions(star.sales(s), "fato_vendas", dims)
+    linked = star.linked(s, "fato_vendas", dims)
     return linked.select(
         "venda_key", "data_pedido", "cliente_key", "produto_key", "cupom_key", "receita_liquida",
         "cliente_sk", "produto_sk", "cupom_sk",
@@ -801,6 +810,67 @@ def synthetic_payments(s):
     return synthetic.payments(ids, orders=1000)
 
 
+@query
+def synthetic_items(s):
+    ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
+    return synthetic.order_items(ids, orders=1000, products=200)
+
+
+@query
+def synthetic_deliveries(s):
+    ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
+    return synthetic.deliveries(ids, orders=1000)
+
+
+@query
+def synthetic_reviews(s):
+    ids = s["orders"].select((F.col("o_orderkey") + 1).alias("id"))
+    return synthetic.reviews(ids, orders=1000, customers=1000, products=200)
+
+
+@query
+def append_evolution(s):
+    """Orders appended in two runs, the second of which brings a column the first had not."""
+    path = f"{scratch_dir(s.spark, 'evolution')}/pedidos"
+    orders = s["pedidos"].withColumn("ano", F.year("data_pedido"))
+    append(orders.drop("id_cupom").filter("id_pedido % 2 = 0"), path, ["ano"])
+    append(orders.filter("id_pedido % 2 = 1"), path, ["ano"])
+    return longs(s.spark.read.option("mergeSchema", "true").parquet(path), "ano")
+
+
+@query
+def star_export(s):
+    """All collections as CSV, the star schema built from them as CSV, and its flat table read back."""
+    root = scratch_dir(s.spark, "export")
+    for name, entity in ENTITIES.items():
+        csv_files.write(s[name].select(*entity.columns), f"{root}/in/{name}.csv")
+    export_star(s.spark, f"{root}/in", f"{root}/out")
+    cells = s.spark.read.csv(f"{root}/out/{FLAT_TABLE}.csv", header=True)
+    return cells.select(
+        cell(F.col("id_item"), "int").alias("id_item"), cell(F.col("id_pedido"), "int").alias("id_pedido"),
+        cell(F.col("data_pedido"), "date").alias("data_pedido"), "ano_mes", "cliente", "produto", "cupom",
+        "forma_pagamento", "status_entrega", cell(F.col("quantidade"), "int").alias("quantidade"),
+        cell(F.col("receita_liquida"), "float").alias("receita_liquida"))
+
+
+@query
+def manifest_document(s):
+    """The audit documents of an extraction and an ingest of all collections, read back."""
+    root, args = scratch_dir(s.spark, "manifest"), ("shop", "r1", RUN_AT)
+    run_extract(s.spark, {n: s[n] for n in ENTITIES}, root, *args)
+    bronze_plan.run_bronze(s.spark, root, *args, RUN_AT)
+    entry = "struct<table:string, status:string, document_count:bigint, rows_written:bigint>"
+    shape = (f"dag_id string, run_id string, logical_date string, layer string, tables array<{entry}>,"
+             " totals struct<document_count:bigint, rows_written:bigint>")
+    jobs = (("landing", "source_to_landing"), ("bronze", "landing_to_bronze"))
+    documents = [s.spark.read.schema(shape).json(f"{root}/{layer}/_control/{job}") for layer, job in jobs]
+    named = reduce(DataFrame.unionByName, documents).select("dag_id", "run_id", "logical_date", "layer", "totals", F.posexplode("tables").alias("posicao", "t"))
+    return named.select(
+        "dag_id", "run_id", "logical_date", "layer", F.col("t.table").alias("tabela"),
+        F.coalesce("t.document_count", "t.rows_written").alias("linhas"),
+        F.coalesce("totals.document_count", "totals.rows_written").alias("total"))
+
+
 @query
 def layered_payments(s):
     """Sources to landing, raw, curated and modelled tables: the payment fact with its surrogate."""

@@ -178,6 +178,29 @@ SHOP: dict[str, str] = {
           case when id_cliente % 79 = 0 then 'B1' else lower(estado) end as estado, cep,
           data_cadastro, updated_at
         from {clientes}""",
+    # raw rows that break the source-side contract: texts too long, values outside their domain or range
+    "fornecedores_brutos": """
+        select id_fornecedor, nome_fornecedor, cnpj, email, telefone, logradouro, cidade,
+          case when id_fornecedor % 4 = 0 then concat(estado, 'X') else estado end as estado, cep,
+          updated_at
+        from {fornecedores}""",
+    "pagamentos_brutos": """
+        select id_pagamento, id_pedido,
+          case when id_pagamento % 41 = 0 then 'dinheiro' else forma_pagamento end as forma_pagamento,
+          status_pagamento, valor, data_pagamento,
+          case when id_pagamento % 37 = 0 then 13 else parcelas end as parcelas, updated_at
+        from {pagamentos}""",
+    "entregas_brutos": """
+        select id_entrega, id_pedido, status_entrega, data_envio, data_entrega_prevista, data_entrega_real,
+          case when id_entrega % 31 = 0 then 'Outra' else transportadora end as transportadora,
+          codigo_rastreio, updated_at
+        from {entregas}""",
+    "avaliacoes_brutos": """
+        select id_avaliacao, id_pedido, id_cliente, id_produto,
+          case when id_avaliacao % 23 = 0 then 6 else nota end as nota,
+          case when id_avaliacao % 29 = 0 then null else comentario end as comentario, data_avaliacao,
+          updated_at
+        from {avaliacoes}""",
     # newer versions: most holders of the shared cpf leave it, others join a held one or turn invalid
     "clientes_corrigidos": """
         select id_cliente, nome,
