@@ -8,6 +8,9 @@ subsequence of words, and one with the item's answer, decide.
 
 Retrieval only orders the work. A subsequence cannot be longer than the number of the item's words that
 stand in the stretch at all, so that number admits every stretch that can hold a leak, and all its windows are judged.
+
+Up to there words are 15-bit numbers, under which different words may look equal: that can add pairs, not lose any.
+What is left is judged once more on the words themselves.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ from pyspark.sql import functions as F
 from camadas.llm.common import partial_sums, through, words_of
 from camadas.session import materialize
 
+# Documents with a pair that may be broadcast to their texts: an id and a few item ids each.
+BROADCAST_DOCS = 1_000_000
+
 FEATURES, SKETCH_ROWS, RANK = 8192, 64, 128
 # Words are kept as 15-bit numbers whose low 13 bits are their feature; the last feature stands for
 # words of punctuation only and for filling, and weighs nothing.
@@ -115,11 +121,15 @@ class Item:
     answer: np.ndarray
 
 
-def as_item(item_id: int, text: str) -> Item:
+def last_part(text: str) -> str:
+    """The last line of a text of several lines, else its last sentence: where an item has its answer."""
     lines = [x for x in text.strip().split("\n") if x.strip()]
-    last = lines[-1] if len(lines) > 1 else (re.split(r"(?<=[.!?])\s+", text.strip()) or [""])[-1]
+    return lines[-1] if len(lines) > 1 else (re.split(r"(?<=[.!?])\s+", text.strip()) or [""])[-1]
+
+
+def as_item(item_id: int, text: str) -> Item:
     numbers = Numbers()
-    return Item(item_id, numbers(text), numbers(last))
+    return Item(item_id, numbers(text), numbers(last_part(text)))
 
 
 class Index:
@@ -233,7 +243,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.7, least_
 
     A document is contaminated by an item if at least ``least`` of the item's words appear in it in order
     within the item's size around any window of ``PASSAGE`` words, or ``least_with_answer`` of them along with
-    four fifths of the answer. Words are compared by 15-bit hashes. The benchmark is read in blocks of about ``ITEMS_AT_ONCE`` items, each with
+    four fifths of the answer. Words are equal if their bytes are, A-Z lower-cased and without the punctuation at
+    their edges. The benchmark is read in blocks of about ``ITEMS_AT_ONCE`` items, each with
     a pass of its own over the documents, so what tasks receive is bounded.
 
     Null and empty texts and items match nothing, as do null item ids; a null doc_id is reported as null;
@@ -248,7 +259,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.7, least_
     for lot in range(lots):
         some = items.where(F.pmod(F.xxhash64("item_id", F.lit(3)), F.lit(lots)) == lot) if lots > 1 else items
         index = Index([as_item(r.item_id, r.text) for r in some.collect()], *moments) if n else None
-        pairs = search(texts, index, least, least_with_answer)
+        likely = materialize(search(texts, index, least, least_with_answer).select("doc_id", "item_id").distinct(), "leak-pairs")
+        pairs = confirmed(docs, some, likely, least, least_with_answer)
         out = pairs if out is None else out.unionByName(pairs)
     best = F.max(F.struct("lcs_share", "answer_share")).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.lcs_share", "b.answer_share")
@@ -300,3 +312,63 @@ def search(texts: DataFrame, index: Index | None, least: float, least_with_answe
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names)
 
     return texts.mapInArrow(run, "doc_id long, item_id long, lcs_share double, answer_share double")
+
+
+def bare_words(text: str | None) -> list[bytes]:
+    """Words without the punctuation at their edges; words of punctuation only become empty."""
+    return [w.strip(EDGE) for w in words_of(text)]
+
+
+class Exact:
+    """One item by its own words: places of a text that cannot hold one of them are skipped without a search."""
+
+    def __init__(self, item_id: int, text: str) -> None:
+        words, answer = bare_words(text), bare_words(last_part(text))
+        self.known = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        self.item = Item(item_id, *(np.array([self.known[w] for w in ws], "i8") for ws in (words, answer)))
+        self.holds = np.append(np.bincount(self.item.words, minlength=len(self.known)), 0)
+
+    def best(self, words: list[bytes], least: float, least_with_answer: float) -> tuple[float, float] | None:
+        """The highest shares around any window of a text."""
+        size, other = len(self.item.words), len(self.known)
+        numbers = np.fromiter((self.known.get(w, other) for w in words), "i8", len(words))
+        before = np.append(0, np.cumsum(numbers != other))
+        starts = np.arange(0, len(words), STEP)
+        held = before[np.minimum(starts + PASSAGE + size, len(words))] - before[np.maximum(starts - size, 0)]
+        found = None
+        for at in starts[held >= least_with_answer * size].tolist():
+            shares = verdict(self.item, self.holds, numbers, at, least, least_with_answer)
+            if shares and (found is None or shares > found):
+                found = shares
+            if found == (1.0, 1.0):
+                break
+        return found
+
+
+def confirmed(docs: DataFrame, items: DataFrame, likely: DataFrame, least: float, least_with_answer: float) -> DataFrame:
+    """The likely pairs that are leaks by their words. Texts meet the items found for their id; where one id has several
+    texts, each is judged. ``items`` are at most one lot."""
+    by_doc = likely.groupBy("doc_id").agg(F.collect_set("item_id").alias("items")).withColumnRenamed("doc_id", "likely_id")
+    by_doc = F.broadcast(by_doc) if likely.count() <= BROADCAST_DOCS else by_doc
+    texts = docs.select("doc_id", "text").where("text is not null").join(
+        by_doc, F.col("doc_id").eqNullSafe(F.col("likely_id"))).select("doc_id", "text", "items")
+    known = [(r.item_id, r.text) for r in items.collect()]
+    names = ["doc_id", "item_id", "lcs_share", "answer_share"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exact: dict[int, list[Exact]] = {}
+        for item_id, text in known:
+            exact.setdefault(item_id, []).append(Exact(item_id, text))
+        for batch in batches:
+            found: list[tuple] = []
+            for doc, text, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "items"))):
+                words = bare_words(text)
+                for item in (e for i in ids for e in exact[i] if any(e.known)):
+                    shares = item.best(words, least, least_with_answer)
+                    if shares:
+                        found.append((doc, item.item.item_id, *shares))
+            columns = list(zip(*found)) if found else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names)
+
+    return texts.mapInArrow(run, "doc_id long, item_id long, lcs_share double, answer_share double")
