@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from camadas.llm.common import through
 
 LETTER = regex.compile(r"\p{L}")
-LONGEST_PIECE, LONGEST_WORD = 16, 40
 UNKNOWN, SMOOTHING = 1e-7, 0.5
 # Far above the smallest float: one more piece cannot fall from here to zero.
 SMALL = 1e-100
+# Characters of the words scored at once, and of the words remembered; neither changes a score.
+AT_ONCE, REMEMBERED = 200_000, 8_000_000
 # Words after which more text no longer sharpens the score; the argmax does not depend on it.
 SURE = 30.0
 _P = np.uint64(1099511628211)
@@ -65,7 +66,8 @@ class Pieces:
         encoder = SentencePieceProcessor(model_file=model_file)
         usable = [i for i in range(encoder.vocab_size()) if not (
             encoder.is_control(i) or encoder.is_unknown(i) or encoder.is_byte(i))]
-        texts = {i: encoder.id_to_piece(i) for i in usable if len(encoder.id_to_piece(i)) <= LONGEST_PIECE}
+        texts = {i: encoder.id_to_piece(i) for i in usable}
+        self.longest = max(map(len, texts.values()))
         self.langs = sorted({lang for lang, _, _ in counts})
         place = {i: k for k, i in enumerate(texts)}
         table = np.full((len(texts), len(self.langs)), SMOOTHING)
@@ -78,6 +80,7 @@ class Pieces:
         self.keys = keys[order]
         self.probabilities = np.vstack([table[order], np.zeros((1, len(self.langs)))])
         self.known: dict[str, int] = {}
+        self.held = 0
         self.scores = np.zeros((0, len(self.langs)))
 
     @staticmethod
@@ -91,47 +94,60 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, len(self.keys))
 
+    def _ending(self, codes: np.ndarray, since: int, until: int) -> np.ndarray:
+        """Place in the table of the piece of size ``s`` that ends with character ``j``, as [word, j - since, s - 1]."""
+        first = max(since - self.longest + 1, 0)
+        out = np.full((len(codes), until - since, self.longest), len(self.keys), dtype="i4")
+        keys = np.full((len(codes), until - first), 14695981039346656037, dtype="u8")
+        for size in range(1, min(self.longest, until - first) + 1):
+            keys = (keys[:, :until - first - size + 1] ^ codes[:, first + size - 1:until]) * _P
+            skip = max(since - first - size + 1, 0)
+            out[:, first + size - 1 + skip - since:, size - 1] = self._find(keys[:, skip:])
+        return out
+
     def forward(self, words: list[str]) -> np.ndarray:
-        """log P(word) per language: the sum over all segmentations, for words of one length.
+        """log P(word) per language: the sum over all segmentations, for words of one length, whatever it is.
 
-        ``reach[:, j]`` is the probability of the first j characters, over ``exp(shift)`` of its word and
-        language: where it gets small, it and the positions ahead are scaled up. A character that no piece
-        covers counts as one unknown piece, alike in all languages.
+        ``reach[:, j]`` is the probability of the characters before ``j``, over ``exp(shift)`` of its word and
+        language: where it gets small, it and what the next positions look back on are scaled up. Only as much
+        is kept as the longest piece looks back. A character that no piece covers counts as one unknown
+        piece, alike in all languages.
         """
-        n = len(words[0]) + 1
+        n, back = len(words[0]) + 1, self.longest
         codes = np.array([list(map(ord, "▁" + w)) for w in words], dtype="u8")
-        reach = np.zeros((len(words), n + 1, len(self.langs)))
-        reach[:, 0] = 1
+        block = max(AT_ONCE // len(words), 1)
+        reach = np.zeros((len(words), back + min(block, n), len(self.langs)))
+        reach[:, back - 1] = 1
         shift = np.zeros((len(words), len(self.langs)))
-        for i in range(n):
-            if reach[:, i].min(initial=1) < SMALL:
-                scale = np.where(reach[:, i] < SMALL, reach[:, i], 1)
-                shift += np.log(scale)
-                reach[:, i:i + LONGEST_PIECE] /= scale[:, None]
-            keys = np.full(len(words), 14695981039346656037, dtype="u8")
-            for size in range(1, min(LONGEST_PIECE, n - i) + 1):
-                keys = (keys ^ codes[:, i + size - 1]) * _P
-                p = self.probabilities[self._find(keys)]
-                if size == 1:
-                    p = np.where(p.any(axis=1, keepdims=True), p, UNKNOWN)
-                reach[:, i + size] += reach[:, i] * p
-        return np.log(reach[:, n]) + shift
+        for since in range(0, n, block):
+            until = min(since + block, n)
+            pieces = self._ending(codes, since, until)
+            found = pieces < len(self.keys)
+            sizes = found[:, :, 1:].any(axis=0)
+            for j in range(until - since):
+                one = np.where(found[:, j, :1], self.probabilities[pieces[:, j, 0]], UNKNOWN)
+                now = reach[:, j + back - 1] * one
+                for size in np.flatnonzero(sizes[j]) + 2:
+                    hit = np.flatnonzero(found[:, j, size - 1])
+                    now[hit] += reach[hit, j + back - size] * self.probabilities[pieces[hit, j, size - 1]]
+                reach[:, j + back] = now
+                if now.min(initial=1) < SMALL:
+                    scale = np.where(now < SMALL, now, 1)
+                    shift += np.log(scale)
+                    reach[:, j + 1:j + back + 1] /= scale[:, None]
+            reach[:, :back] = reach[:, until - since:until - since + back].copy()
+        return np.log(reach[:, back - 1]) + shift
 
     def score(self, words: list[str]) -> np.ndarray:
-        """Words longer than ``LONGEST_WORD`` characters are scored in pieces of that length."""
         out = np.zeros((len(words), len(self.langs)))
-        short: dict[int, list[int]] = defaultdict(list)
+        same: dict[int, list[int]] = defaultdict(list)
         for k, w in enumerate(words):
-            short[len(w)].append(k)
-        for size, places in short.items():
-            if size > LONGEST_WORD:
-                for k in places:
-                    cuts = [words[k][i:i + LONGEST_WORD] for i in range(0, size, LONGEST_WORD)]
-                    out[k] = self.score(cuts).sum(axis=0)
-            else:
-                for at in range(0, len(places), 20_000):
-                    some = places[at:at + 20_000]
-                    out[some] = self.forward([words[k] for k in some])
+            same[len(w)].append(k)
+        for size, places in same.items():
+            step = min(max(AT_ONCE // (size + 1), 1), 20_000)
+            for at in range(0, len(places), step):
+                some = places[at:at + step]
+                out[some] = self.forward([words[k] for k in some])
         return out
 
     def __call__(self, texts: list[str | None], cache: int = 400_000) -> tuple[list[str], np.ndarray]:
@@ -139,9 +155,12 @@ class Pieces:
         split = [normal(t) if t and LETTER.search(t) else [] for t in texts]
         distinct = {w for words in split for w in words}
         new = distinct.difference(self.known)
-        if len(self.known) + len(new) > cache:
+        size = sum(map(len, new))
+        if len(self.known) + len(new) > cache or self.held + size > REMEMBERED:
             self.known, self.scores, new = {}, self.scores[:0], distinct
+            self.held, size = 0, sum(map(len, new))
         if new:
+            self.held += size
             told = lettered(new)
             plain = list(new.difference(told))  # no letters: nothing said for any language
             start = len(self.scores)

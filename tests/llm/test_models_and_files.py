@@ -1,5 +1,6 @@
 """Classifiers, language, token files, top-k, mixture and pipeline against plain versions."""
 
+import functools
 import random
 import zlib
 from collections import Counter
@@ -97,7 +98,7 @@ def test_forward_sums_all_segmentations():
         if not word:
             return np.ones(2)
         total = np.zeros(2)
-        for n in range(1, min(len(word), language.LONGEST_PIECE) + 1):
+        for n in range(1, min(len(word), pieces.longest) + 1):
             p = texts.get(word[:n], np.full(2, language.UNKNOWN) if n == 1 else np.zeros(2))
             total = total + p * plain(word[n:])
         return total
@@ -115,11 +116,79 @@ def test_long_words_of_unseen_pieces_with_large_counts():
     first, words = pieces.score([char])[0], [char * 40, char * 80, "house"]
     scores = pieces.score(words)
     assert np.isfinite(scores).all()
-    assert np.allclose(scores[0], first + 39 * np.log(row)) and np.allclose(scores[1], 2 * scores[0])
+    assert np.allclose(scores[0], first + 39 * np.log(row)) and np.allclose(scores[1], first + 79 * np.log(row))
     names, best = pieces([f"{char * 40} house", char * 200])
     assert np.isfinite(best).all() and (best > 0).all() and set(names) <= {"a", "b"}
 
 
+def plain_language(rows, held):
+    """(doc_id, lang_pred, score) by strings: a dict of pieces and one sum of logarithms per word."""
+    from sentencepiece import SentencePieceProcessor
+    encoder = SentencePieceProcessor(model_file=queries.PIECES)
+    usable = [i for i in range(encoder.vocab_size()) if not (encoder.is_control(i) or encoder.is_unknown(i) or encoder.is_byte(i))]
+    counts = {}
+    for doc_id, text, lang in rows:
+        if lang is not None and text is not None and not held(doc_id):
+            for w in language.lettered(text.lower().split()):
+                counts.setdefault(lang, Counter()).update(encoder.encode(w))
+    langs = sorted(counts)
+    table = {}
+    for lang in langs:
+        total = sum(counts[lang][i] + language.SMOOTHING for i in usable)
+        for i in usable:
+            table.setdefault(encoder.id_to_piece(i), []).append(np.log((counts[lang][i] + language.SMOOTHING) / total))
+    table = {piece: np.array(row) for piece, row in table.items()}
+    longest = max(map(len, table))
+
+    @functools.cache
+    def word_score(word):
+        word = "▁" + word
+        reach = [np.zeros(len(langs))]
+        for j in range(1, len(word) + 1):
+            terms = [reach[i] + table[word[i:j]] for i in range(max(j - longest, 0), j) if word[i:j] in table]
+            if word[j - 1] not in table:
+                terms.append(reach[j - 1] + np.log(language.UNKNOWN))
+            reach.append(np.logaddexp.reduce(terms))
+        return reach[-1]
+
+    for doc_id, text, _ in rows:
+        words = (text or "").lower().split()
+        told = language.lettered(words)
+        if not told:
+            yield doc_id, "und", 0.0
+            continue
+        total = np.sum([word_score(w) for w in told], axis=0) * min(1, language.SURE / len(words))
+        odds = np.exp(total - total.max())
+        yield doc_id, langs[int(odds.argmax())], odds.max() / odds.sum()
+
+
+def test_language_query_against_plain(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    long = [(10**6, "x" * 41 + "straße" * 30, None), (10**6 + 1, "the " + "ab中" * 700, "en"), (10**6 + 2, "a" * 60, None)]
+    docs = docs.unionByName(spark.createDataFrame(long, docs.schema))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    expected = {k: (lang, score) for k, lang, score in plain_language(rows, lambda k: zlib.crc32(str(k).encode()) % 4 == 2)}
+    out = queries.op3_language(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows) == len(expected)
+    for r in out:
+        assert r.lang_pred == expected[r.doc_id][0] and abs(r.score - expected[r.doc_id][1]) < 1e-6
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_language_does_not_depend_on_blocks(monkeypatch):
+    counts = [(lang, i, (i * k) % 97) for k, lang in ((7, "a"), (11, "b")) for i in range(300, 3000)]
+    words = ["house", "mouse", "x" * 41, "abc" * 30, "日本" * 400, "▁"]
+    whole = language.Pieces(queries.PIECES, counts).score(words)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(language, "AT_ONCE", size)
+        assert np.allclose(language.Pieces(queries.PIECES, counts).score(words), whole, rtol=1e-12)
+    monkeypatch.setattr(language, "REMEMBERED", 10)
+    pieces = language.Pieces(queries.PIECES, counts)
+    names, best = pieces(words)
+    assert pieces(words[::-1])[0] == names[::-1] and len(pieces.known) <= len(words)
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = language.identify(docs, fold("doc_id", 4, 2), queries.PIECES).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
