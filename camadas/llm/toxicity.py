@@ -10,11 +10,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from camadas.llm.common import MAX_LABELS, calibrated, calibration, label_sample, through, with_labels, words_of
 
 EDGE = b".,;:!?'\"()[]{}|*#%$&-"
-LEXICON, PRIOR, Z_LEAST, GAP = 50_000, 1000.0, 3.0, -0.25
+# Prior occurrences of every unit, and what each token costs a segment; chosen by cross-validation on training rows.
+PRIOR, DRIFT = 10.0, 0.5
+# Scores are multiples of 1 / STEPS, so that their sums are exact.
+STEPS = 1024
 TOP, WORD_CACHE = 60.0, 500_000
 BEGINNINGS = (4, 5, 6)
 
@@ -29,6 +33,11 @@ def units(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) > n)]
 
 
+def key_of(unit: bytes) -> int:
+    """63 bits that stand for a unit."""
+    return xxh3_64_intdigest(unit) >> 1
+
+
 def token_counts(labelled: DataFrame) -> DataFrame:
     """(unit, whole, bad, good): counts by class of words and beginnings, combined per batch first."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,76 +48,104 @@ def token_counts(labelled: DataFrame) -> DataFrame:
             spread = (Counter(), Counter())
             for words, out in zip(counts, spread):
                 for word, n in words.items():
-                    for unit in units(word):
-                        out[unit] += n
+                    for i, unit in enumerate(units(word)):
+                        out[key_of(unit), i == 0] += n
             names = sorted(set(spread[0]) | set(spread[1]))
-            yield pd.DataFrame({"unit": names, "whole": [not u.endswith(b"*") for u in names],
+            yield pd.DataFrame({"unit": [u for u, _ in names], "whole": [w for _, w in names],
                                 "bad": [spread[1][u] for u in names], "good": [spread[0][u] for u in names]})
 
-    rows = labelled.mapInPandas(run, "unit binary, whole boolean, bad long, good long")
+    rows = labelled.mapInPandas(run, "unit long, whole boolean, bad long, good long")
     return rows.groupBy("unit", "whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 class Scores(dict):
-    """The log-odds of each word: the best of its units, or None; remembers the words seen."""
+    """The score of each word: the mean log-odds of its units less ``DRIFT``; remembers the words seen.
 
-    def __init__(self, lexicon: dict[bytes, float]) -> None:
-        super().__init__()
-        self.lexicon = lexicon
+    A unit that was not counted has log-odds 0, the value the prior alone gives.
+    """
 
-    def __missing__(self, word: bytes) -> float | None:
-        if len(self) > WORD_CACHE:
+    def __init__(self, keys: np.ndarray, odds: np.ndarray) -> None:
+        super().__init__()
+        order = np.argsort(keys)
+        self.keys_, self.odds = keys[order], odds[order]
+
+    def learn(self, words: list[bytes]) -> None:
+        spelled = [[key_of(u) for u in units(w)] for w in words]
+        keys = np.array([k for own in spelled for k in own], dtype="i8")
+        sizes = np.array([len(own) for own in spelled])
+        odds = np.zeros(len(keys))
+        if len(self.keys_):
+            at = np.minimum(np.searchsorted(self.keys_, keys), len(self.keys_) - 1)
+            odds = np.where(self.keys_[at] == keys, self.odds[at], 0.0)
+        means = np.add.reduceat(odds, np.cumsum(sizes) - sizes) / sizes
+        self.update(zip(words, (np.round((means - DRIFT) * STEPS) / STEPS).tolist()))
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        new = set(words).difference(self)
+        if len(self) + len(new) > WORD_CACHE:
             self.clear()
-        found = [self.lexicon[u] for u in units(word) if u in self.lexicon]
-        self[word] = score = max(found) if found else None
-        return score
+            new = set(words)
+        if new:
+            self.learn(list(new))
+        return np.fromiter(map(self.__getitem__, words), "f8", len(words))
 
 
-def lexicon(counts: DataFrame, size: int = LEXICON) -> tuple[dict[bytes, float], float, float]:
-    """Scores of the most significant units, and the two parameters of the segment statistics.
+def log_odds(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and shrunken log-odds of all counted units.
 
-    Log-odds with an informative Dirichlet prior: prior counts are ``PRIOR`` shared out by the words'
-    frequency in both classes. Kept are units whose z-score is ``Z_LEAST`` or more, at most ``size``.
-    Every other token scores ``GAP``. The extreme-value rate solves sum(p * exp(rate * score)) = 1 for
-    the clean class.
+    The Dirichlet prior gives every unit ``PRIOR`` occurrences, dealt to the classes by their size, so a
+    unit seen a few times stays near 0. What reaches the driver is 16 bytes for each distinct unit of the
+    bounded label sample.
     """
     total = counts.where("whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     bad, good = total.bad or 0, total.good or 0
     if not bad or not good:
-        return {}, 1.0, 0.0
-    prior = PRIOR * (F.col("bad") + F.col("good")) / float(bad + good)
-
-    def side(own: str, size_: int) -> Column:
-        return F.log((F.col(own) + prior) / (size_ + PRIOR - F.col(own) - prior))
-
-    delta = side("bad", bad) - side("good", good)
-    variance = 1 / (F.col("bad") + prior) + 1 / (F.col("good") + prior)
-    scored = counts.select("unit", delta.alias("delta"), (delta / F.sqrt(variance)).alias("z"),
-                           ((F.col("good") + prior) / (good + PRIOR)).alias("p"))
-    rows = scored.where((F.col("z") >= Z_LEAST) & (F.col("delta") > 0.5)).orderBy(
-        F.desc("z"), "unit").limit(size).collect()
-    words = {bytes(r.unit): r.delta for r in rows}
-    deltas, ps = np.array([r.delta for r in rows]), np.array([r.p for r in rows])
+        return np.zeros(0, dtype="i8"), np.zeros(0)
+
+    def side(own: str, size: int) -> Column:
+        return F.log(F.col(own) * ((bad + good) / size) + PRIOR)
+
+    rows = counts.select("unit", (side("bad", bad) - side("good", good)).alias("odds")).toArrow()
+    return rows.column("unit").to_numpy(), rows.column("odds").to_numpy()
+
+
+def extreme_values(clean: DataFrame, scores: Scores) -> tuple[float, float]:
+    """(rate, chance) of the segment statistics of clean texts.
+
+    The rate solves mean(exp(rate * score)) = 1 over all their tokens, the chance is the share of tokens
+    that score above zero. Tokens are counted by score in hundredths, so a bounded histogram is collected.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            seen: Counter = Counter()
+            for text in frame["text"]:
+                places, n = np.unique(np.round(scores.of(tokens(text)) * 100).astype("i8"), return_counts=True)
+                seen.update(dict(zip(places.tolist(), n.tolist())))
+            yield pd.DataFrame({"place": list(seen), "n": list(seen.values())}, dtype="int64")
+
+    rows = clean.select("text").mapInPandas(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    values, share = np.array([r.place for r in rows]) / 100, np.array([r.n for r in rows], dtype="f8")
+    if not (values > 0).any():
+        return 50.0, 1 / max(share.sum(), 1.0)
+    share /= share.sum()
     low, high = 0.0, 50.0
     for _ in range(80):
         rate = (low + high) / 2
-        value = (ps * np.exp(np.minimum(rate * deltas, 700))).sum() + (1 - ps.sum()) * np.exp(rate * GAP) if len(ps) else 0
-        low, high = (rate, high) if value < 1 else (low, rate)
-    return words, max(low, 1e-3), float(ps.sum())
+        low, high = (rate, high) if (share * np.exp(np.minimum(rate * values, 700))).sum() < 1 else (low, rate)
+    return max(low, 1e-3), float(share[values > 0].sum())
 
 
-def segments(hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score) of a sequence given by its positive tokens.
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (start, end, score) of a sequence of token scores.
 
-    One scan from left to right over the hits, the gaps between them scoring ``GAP`` a token; every
-    candidate is merged or skipped once, so the time is linear in the hits.
+    One scan from left to right over the positive tokens with the running sum; every candidate is merged
+    or skipped once, so the time is linear.
     """
     found: list[list[float]] = []  # start, end, sum before, sum after, index of the nearest lower start
-    total, last = 0.0, -1
-    for at, score in hits:
-        total += (at - last - 1) * GAP
-        item = [at, at + 1, total, total + score]
-        total, last = total + score, at
+    sums = np.append(0.0, np.cumsum(scores))
+    places = np.flatnonzero(scores > 0)
+    for at, before, after in zip(places.tolist(), sums[places].tolist(), sums[places + 1].tolist()):
+        item = [at, at + 1, before, after]
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= item[2]:
@@ -128,11 +165,8 @@ def passages(words: list[bytes], scores: Scores, rate: float, chance: float,
     A segment's E-value is words * chance * exp(-rate * score), the number of segments as good that a
     clean document of this length has by chance. The evidence sums -ln(E) over segments.
     """
-    hits = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s is not None]
-    if not hits:
-        return [], 0.0
     kept, evidence = [], 0.0
-    for start, end, score in segments(hits):
+    for start, end, score in segments(scores.of(words)):
         expected = len(words) * chance * float(np.exp(-rate * score))
         if expected < worst:
             kept.append((start, end, score, expected))
@@ -151,15 +185,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, thresho
     """
     texts = docs.select("doc_id", "text")
     train = with_labels(texts, label_sample(labels, "toxic", held_out, max_labels)).select("text", "y")
-    found, rate, chance = lexicon(token_counts(train))
-    words = Scores(found)
+    words = Scores(*log_odds(token_counts(train)))
+    learned = len(words.keys_) > 0
+    rate, chance = extreme_values(train.where("y = 0"), words) if learned else (1.0, 1.0)
 
     def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"raw": [passages(tokens(t), words, rate, chance)[1] for t in frame["text"]],
                                 "y": frame["y"]})
 
-    knots = calibration(train.mapInPandas(evidence, "raw double, y int"), 0.0, TOP) if found else ([], [])
+    knots = calibration(train.mapInPandas(evidence, "raw double, y int"), 0.0, TOP) if learned else ([], [])
 
     def make(batch: pa.RecordBatch) -> dict:
         found = [passages(tokens(t), words, rate, chance) for t in batch.column("text").to_pylist()]

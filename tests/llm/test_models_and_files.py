@@ -63,9 +63,8 @@ def test_maximal_segments_against_all_segments():
 
     rng = random.Random(5)
     for _ in range(200):
-        scores = [rng.choice([toxicity.GAP] * 3 + [0.53, 1.31, 0.2]) + rng.random() * 1e-6 * 0 for _ in range(rng.randint(0, 18))]
-        hits = [(i, s) for i, s in enumerate(scores) if s > 0]
-        found = toxicity.segments(hits)
+        scores = [rng.choice([-0.25] * 3 + [-1.7, 0.53, 1.31, 0.2]) for _ in range(rng.randint(0, 18))]
+        found = toxicity.segments(np.array(scores))
         assert round(sum(x[2] for x in found), 6) == round(sum(x[2] for x in plain(scores)), 6)
         assert len(found) == len(plain(scores))
 
@@ -85,6 +84,81 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.97
 
 
+def plain_toxicity(rows, labels, held):
+    """(doc_id, score) with dictionaries of strings, all segments by recursion-free search, and no Spark."""
+    counts, clean = (Counter(), Counter()), []
+    train = [(toxicity.tokens(text), labels[k]) for k, text in rows if labels.get(k) in (0, 1) and not held(k)]
+    for words, y in train:
+        counts[y].update(words)
+        clean.extend(words if y == 0 else [])
+    good, bad = (sum(c.values()) for c in counts)
+    spread = (Counter(), Counter())
+    for c, out in zip(counts, spread):
+        for w, n in c.items():
+            for u in toxicity.units(w):
+                out[u] += n
+
+    @functools.cache
+    def score(word):
+        odds = []
+        for u in toxicity.units(word):
+            seen = u in spread[0] or u in spread[1]
+            odds.append(np.log(spread[1][u] * (good + bad) / bad + toxicity.PRIOR)
+                        - np.log(spread[0][u] * (good + bad) / good + toxicity.PRIOR) if seen else 0.0)
+        return round((sum(odds) / len(odds) - toxicity.DRIFT) * toxicity.STEPS) / toxicity.STEPS
+
+    values = np.round(np.array([score(w) for w in clean]) * 100) / 100
+    low, high = 0.0, 50.0
+    for _ in range(80):
+        rate = (low + high) / 2
+        low, high = (rate, high) if np.exp(rate * values).mean() < 1 else (low, rate)
+    chance = (values > 0).mean()
+
+    def evidence(words):
+        total, spans = 0.0, [(0, len(words))]
+        scores = np.array([score(w) for w in words])
+        while spans:
+            first, last = spans.pop()
+            lowest, at, best, where = 0.0, first, 0.0, None
+            run = 0.0
+            for i in range(first, last):
+                run += scores[i]
+                if run - lowest > best:
+                    best, where = run - lowest, (at, i + 1)
+                if run <= lowest:
+                    lowest, at = run, i + 1
+            if where:
+                total += max(0.0, -np.log(len(words) * chance) + low * best)
+                spans += [(first, where[0]), (where[1], last)]
+        return np.log1p(total) * 10
+
+    bins = {}
+    for words, y in train:
+        n, s = bins.get(k := min(int(evidence(words) / (toxicity.TOP / 2000)), 2000), (0, 0))
+        bins[k] = (n + 1, s + y)
+    xs, ys = isotonic([((k + 0.5) * (toxicity.TOP / 2000), n, s) for k, (n, s) in bins.items()])
+    return {k: float(np.interp(evidence(toxicity.tokens(text)), xs, ys)) for k, text in rows}
+
+
+def test_toxicity_query_against_plain(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    held = lambda k: zlib.crc32(str(k).encode()) % 5 == 0
+    expected = plain_toxicity(docs, labels, held)
+    out = queries.op8_toxicity(spark, SF).collect()
+    assert sorted(r.doc_id for r in out) == sorted(expected)
+    assert max(abs(r.score - expected[r.doc_id]) for r in out) < 1e-6
+    assert all(r.predicted == (r.score >= 0.5) and r.held_out == held(r.doc_id) for r in out)
+
+
+def test_rare_words_score_less_than_frequent_ones(spark):
+    rows = [("seldom", 1, 0), ("often", 60, 0), ("clean", 0, 60), ("both", 50, 500), ("once", 0, 1)]
+    counts = spark.createDataFrame([(toxicity.key_of(u.encode()), True, b, g) for u, b, g in rows], "unit long, whole boolean, bad long, good long")
+    words = toxicity.Scores(*toxicity.log_odds(counts))
+    often, seldom, once, clean, unseen = words.of([b"often", b"seldom", b"once", b"clean", b"new"])
+    assert often > seldom > unseen == -toxicity.DRIFT > once > clean
+
+
 def test_forward_sums_all_segmentations():
     pieces = language.Pieces(queries.PIECES, [("a", 300, 5), ("a", 400, 2), ("b", 300, 1)])
     texts = {}
