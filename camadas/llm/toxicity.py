@@ -58,36 +58,37 @@ def token_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("unit", "whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
-class Scores(dict):
+class Scores:
     """The score of each word: the mean log-odds of its units less ``DRIFT``; remembers the words seen.
 
     A unit that was not counted has log-odds 0, the value the prior alone gives.
     """
 
     def __init__(self, keys: np.ndarray, odds: np.ndarray) -> None:
-        super().__init__()
         order = np.argsort(keys)
-        self.keys_, self.odds = keys[order], odds[order]
+        self.keys, self.odds = keys[order], odds[order]
+        self.known: dict[bytes, float] = {}
 
     def learn(self, words: list[bytes]) -> None:
         spelled = [[key_of(u) for u in units(w)] for w in words]
         keys = np.array([k for own in spelled for k in own], dtype="i8")
         sizes = np.array([len(own) for own in spelled])
         odds = np.zeros(len(keys))
-        if len(self.keys_):
-            at = np.minimum(np.searchsorted(self.keys_, keys), len(self.keys_) - 1)
-            odds = np.where(self.keys_[at] == keys, self.odds[at], 0.0)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            odds = np.where(self.keys[at] == keys, self.odds[at], 0.0)
         means = np.add.reduceat(odds, np.cumsum(sizes) - sizes) / sizes
-        self.update(zip(words, (np.round((means - DRIFT) * STEPS) / STEPS).tolist()))
+        self.known.update(zip(words, (np.round((means - DRIFT) * STEPS) / STEPS).tolist()))
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self)
-        if len(self) + len(new) > WORD_CACHE:
-            self.clear()
-            new = set(words)
+        distinct = set(words)
+        new = distinct.difference(self.known)
+        if len(self.known) + len(new) > WORD_CACHE:
+            self.known.clear()
+            new = distinct
         if new:
             self.learn(list(new))
-        return np.fromiter(map(self.__getitem__, words), "f8", len(words))
+        return np.fromiter(map(self.known.__getitem__, words), "f8", len(words))
 
 
 def log_odds(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +187,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, thresho
     texts = docs.select("doc_id", "text")
     train = with_labels(texts, label_sample(labels, "toxic", held_out, max_labels)).select("text", "y")
     words = Scores(*log_odds(token_counts(train)))
-    learned = len(words.keys_) > 0
+    learned = len(words.keys) > 0
     rate, chance = extreme_values(train.where("y = 0"), words) if learned else (1.0, 1.0)
 
     def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
