@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from camadas.llm.common import MAX_LABELS, calibrated, calibration, label_sample, through, with_labels, words_of
+from camadas.session import materialize
 
 EDGE = b".,;:!?'\"()[]{}|*#%$&-"
 # Prior occurrences of every unit, and what each token costs a segment; chosen by cross-validation on training rows.
 PRIOR, DRIFT = 10.0, 0.5
+# Log-odds nearer to 0 count as 0, mostly those of units seen once in clean texts; they need not be shipped.
+EVEN = 0.125
 # Scores are multiples of 1 / STEPS, so that their sums are exact.
 STEPS = 1024
 TOP, WORD_CACHE = 60.0, 500_000
@@ -95,18 +98,20 @@ def log_odds(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Keys and shrunken log-odds of all counted units.
 
     The Dirichlet prior gives every unit ``PRIOR`` occurrences, dealt to the classes by their size, so a
-    unit seen a few times stays near 0. What reaches the driver is 16 bytes for each distinct unit of the
-    bounded label sample.
+    unit seen a few times stays near 0. What reaches the driver is 12 bytes for each distinct unit of the
+    bounded label sample whose log-odds are ``EVEN`` or more, on either side.
     """
+    counts = materialize(counts, "toxicity-counts")
     total = counts.where("whole").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     bad, good = total.bad or 0, total.good or 0
     if not bad or not good:
-        return np.zeros(0, dtype="i8"), np.zeros(0)
+        return np.zeros(0, dtype="i8"), np.zeros(0, dtype="f4")
 
     def side(own: str, size: int) -> Column:
         return F.log(F.col(own) * ((bad + good) / size) + PRIOR)
 
-    rows = counts.select("unit", (side("bad", bad) - side("good", good)).alias("odds")).toArrow()
+    odds = counts.select("unit", (side("bad", bad) - side("good", good)).cast("float").alias("odds"))
+    rows = odds.where(F.abs("odds") >= EVEN).toArrow()
     return rows.column("unit").to_numpy(), rows.column("odds").to_numpy()
 
 

@@ -103,8 +103,8 @@ def plain_toxicity(rows, labels, held):
         odds = []
         for u in toxicity.units(word):
             seen = u in spread[0] or u in spread[1]
-            odds.append(np.log(spread[1][u] * (good + bad) / bad + toxicity.PRIOR)
-                        - np.log(spread[0][u] * (good + bad) / good + toxicity.PRIOR) if seen else 0.0)
+            here = np.log(spread[1][u] * (good + bad) / bad + toxicity.PRIOR) - np.log(spread[0][u] * (good + bad) / good + toxicity.PRIOR)
+            odds.append(float(np.float32(here)) if seen and abs(np.float32(here)) >= toxicity.EVEN else 0.0)
         return round((sum(odds) / len(odds) - toxicity.DRIFT) * toxicity.STEPS) / toxicity.STEPS
 
     values = np.round(np.array([score(w) for w in clean]) * 100) / 100
@@ -156,7 +156,7 @@ def test_rare_words_score_less_than_frequent_ones(spark):
     counts = spark.createDataFrame([(toxicity.key_of(u.encode()), True, b, g) for u, b, g in rows], "unit long, whole boolean, bad long, good long")
     words = toxicity.Scores(*toxicity.log_odds(counts))
     often, seldom, once, clean, unseen = words.of([b"often", b"seldom", b"once", b"clean", b"new"])
-    assert often > seldom > unseen == -toxicity.DRIFT > once > clean
+    assert often > seldom > unseen == once == -toxicity.DRIFT > clean
 
 
 def test_forward_sums_all_segmentations():
