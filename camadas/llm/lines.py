@@ -54,7 +54,7 @@ def drop_boilerplate(docs: DataFrame, least_sites: int = 5, site: str = "source"
     """
     keys = materialize(boilerplate(docs, least_sites, site), "line-boilerplate")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "text")]
-    whole = docs.select(F.struct(*names).alias("row"), "text")
+    whole = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), "text")
     pieces = F.split(F.coalesce("text", F.lit("")), "\n")
     hashed = F.transform(F.transform(pieces, trimmed), lambda x: F.when(x != "", F.unhex(line_key(x))))
     # a text's candidate keys meet the boilerplate keys once, whatever the number of their occurrences

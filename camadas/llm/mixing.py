@@ -23,8 +23,10 @@ def word_density(text: str = "text") -> Column:
 
 def sampling_key(weight: Column, seed: str) -> Column:
     """An exponential variate divided by the weight; ascending order is weighted sampling without
-    replacement. The uniform number is 48 bits of an md5 of seed and id, so reruns agree."""
-    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))), 1, 12), 16, 10)
+    replacement. The uniform number is 48 bits of an md5 of seed and id, so reruns agree; a row without
+    id takes the md5 of its text instead of the id."""
+    known = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")))))
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), known)), 1, 12), 16, 10)
     uniform = (bits.cast("double") + 0.5) / float(2**48)
     return -F.ln(uniform) / weight
 
@@ -66,7 +68,7 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (3, 1, 2
     the one range that holds the boundary, and only that range is sorted.
 
     Null text has size 0 and is taken 0 words; a null source is a source, named last; null, zero or
-    negative weights count as 1e-6; a null id has a key like any other; equal keys are ordered by id,
+    negative weights count as 1e-6; rows without id draw by their text; equal keys are ordered by id,
     then size, so repeated rows are interchangeable; no rows give no rows. Other columns are ignored.
     """
     sized = docs.select("doc_id", "source", "text").withColumn("size", word_count())

@@ -352,6 +352,17 @@ def test_mixture(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
+def test_rows_without_id_are_drawn_one_by_one(spark):
+    """Of equal weights, the chosen ones must not be the shortest or the longest, as one shared draw would make them."""
+    rows = [(None, " ".join(["word"] * (1 + k // 4)) + f" x{k}", "en", "a") for k in range(400)]
+    rows += [(k, "one two three", "en", "b") for k in range(20000, 20400)]
+    out = mixing.mix(frame(spark, rows), share=0.5, quality=F.lit(1.0)).where("source = 'a'").collect()
+    taken = sorted(r.size for r in out if r.copies)
+    assert len(out) == 400 and 0 < len(taken) < 400
+    assert abs(sum(r.taken for r in out) - out[0].target) <= max(r.size for r in out)
+    assert taken[0] < 20 and taken[-1] > 80
+
+
 def test_pipeline_stage_by_stage(spark):
     """Every stage's decisions, recomputed plainly on what the stage before it kept."""
     documents = spark.read.parquet(f"{SF}/documents.parquet")

@@ -192,6 +192,13 @@ def test_boilerplate_lines(spark):
     assert not any(r.n_removed for r in more.values())  # eight sites: seven and z, the null one not counted
 
 
+def test_boilerplate_beside_a_column_with_a_dot(spark):
+    rows = [(k, "shared footer\nown {k}", "en", f"s{k}", 7) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `a.b` int")
+    out = lines.drop_boilerplate(docs, least_sites=5)
+    assert "a.b" in out.columns and {(r["a.b"], r.n_lines) for r in out.collect()} == {(7, 2)}
+
+
 def test_line_spread_is_exact_at_the_threshold(spark):
     """With hundreds of sites the sketch only estimates; the count near the threshold is exact."""
     rows = [(k * 1000 + s, f"line {k}", "en", f"s{s}") for k, n in ((0, 299), (1, 300), (2, 301), (3, 500), (4, 20)) for s in range(n)]
