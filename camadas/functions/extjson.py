@@ -12,8 +12,8 @@ from camadas.functions.text import clean, to_number
 NUMBER_WRAPPERS = ("$numberInt", "$numberLong", "$numberDouble")
 DATE_WRAPPER = "$date"
 DATE_MILLIS = "$numberLong"
-# Epoch seconds that are dates at all; anything else in a date field is not a date.
-YEARS_1_TO_9999 = (-62135596800, 253402300799)
+# Epoch seconds that a timestamp of 64-bit microseconds can hold; years before 1 and after 9999 are among them.
+INSTANTS = (-9223372036854, 9223372036854)
 
 _NUMBER = "struct<" + ",".join(f"`{w}`:string" for w in NUMBER_WRAPPERS) + ">"
 _DATE = f"struct<`{DATE_WRAPPER}`:struct<`{DATE_MILLIS}`:string>>"
@@ -35,7 +35,7 @@ def date_value(node: Column, target: str) -> Column:
     """Epoch milliseconds to whole seconds (towards zero), then to a day if asked."""
     millis = node.getField(DATE_WRAPPER).getField(DATE_MILLIS).try_cast("bigint")
     seconds = F.call_function("div", millis, F.lit(1000))
-    known = seconds.between(*YEARS_1_TO_9999)
+    known = seconds.between(*INSTANTS)
     instant = F.timestamp_seconds(F.when(known, seconds))
     return instant.cast("date") if target == "date" else instant
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # Formats that make keys comparable with existing tables.
 KEY_SEPARATOR = "||"
 VERSION_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
-DAY_FORMAT = "yyyyMMdd"
 INVALID_PREFIX = "__invalid__"
 
 
@@ -26,7 +25,8 @@ def surrogate_key(natural: Column, valid_from: Column) -> Column:
 
 
 def day_key(day: Column) -> Column:
-    return F.date_format(day, DAY_FORMAT).cast("int")
+    """yyyymmdd as a number; a year before 1 gives a negative one, where a format would drop the era."""
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
 def dedup_key(key: Column, document: Column) -> Column:

@@ -39,12 +39,19 @@ PRODUCT = (
     "descricao_categoria", "id_fornecedor as fornecedor_key", "nome_fornecedor",
     "estado_fornecedor",
 )
+
+
+def day_number(day: str, name: str) -> str:
+    """``day_key`` as SQL."""
+    return f"cast(year({day}) * 10000 + month({day}) * 100 + day({day}) as int) as {name}"
+
+
 GROSS = "try_cast(quantidade * valor_unitario as decimal(18,2))"
 DISCOUNT = f"try_cast({GROSS} - subtotal as decimal(18,2))"
 ON_TIME = "if(data_entrega_real is not null, data_entrega_real <= data_entrega_prevista, null)"
 SALES = (
     "id_item as venda_key", "id_item", "id_pedido",
-    "cast(date_format(data_pedido, 'yyyyMMdd') as int) as data_key", "data_pedido",
+    day_number("data_pedido", "data_key"), "data_pedido",
     "year(data_pedido) as ano", "id_cliente as cliente_key", "id_produto as produto_key",
     "id_cupom as cupom_key", "status as status_pedido", "quantidade", "valor_unitario",
     "desconto_percentual", f"{GROSS} as valor_bruto", f"{DISCOUNT} as valor_desconto",
@@ -52,7 +59,7 @@ SALES = (
 )
 PAYMENTS = (
     "id_pagamento as pagamento_key", "id_pagamento", "id_pedido",
-    "cast(date_format(data_pagamento, 'yyyyMMdd') as int) as data_key", "data_pagamento",
+    day_number("data_pagamento", "data_key"), "data_pagamento",
     "year(data_pagamento) as ano", "id_cliente as cliente_key", "forma_pagamento",
     "status_pagamento", "valor",
     "if(status_pagamento = 'aprovado', valor, cast(0 as decimal(18,2))) as valor_aprovado",
@@ -60,9 +67,9 @@ PAYMENTS = (
 )
 DELIVERIES = (
     "id_entrega as entrega_key", "id_entrega", "id_pedido",
-    "cast(date_format(data_envio, 'yyyyMMdd') as int) as data_envio_key",
-    "cast(date_format(data_entrega_prevista, 'yyyyMMdd') as int) as data_prevista_key",
-    "cast(date_format(data_entrega_real, 'yyyyMMdd') as int) as data_real_key",
+    day_number("data_envio", "data_envio_key"),
+    day_number("data_entrega_prevista", "data_prevista_key"),
+    day_number("data_entrega_real", "data_real_key"),
     "data_envio", "year(data_envio) as ano", "id_cliente as cliente_key", "status_entrega",
     "transportadora", "codigo_rastreio",
     "datediff(data_entrega_prevista, data_envio) as prazo_previsto_dias",
@@ -73,7 +80,7 @@ DELIVERIES = (
 )
 REVIEWS = (
     "id_avaliacao as avaliacao_key", "id_avaliacao", "id_pedido",
-    "cast(date_format(data_avaliacao, 'yyyyMMdd') as int) as data_key", "data_avaliacao",
+    day_number("data_avaliacao", "data_key"), "data_avaliacao",
     "year(data_avaliacao) as ano", "id_cliente as cliente_key", "id_produto as produto_key",
     "nota", "comentario", "nota >= 4 as avaliacao_positiva", "1 as quantidade_avaliacoes",
 )
