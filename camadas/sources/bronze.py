@@ -17,7 +17,7 @@ PARTITION = "ingestion_date"
 EXTRACTION_DATE_IN_PATH = r"/extraction_date=([^/]+)/"
 RUN_ID_IN_PATH = r"/run_id=([^/]+)/"
 FOLDER_IN_PATH = r"^(.*)/[^/]+$"
-FILE_GLOB = "*.json"
+FILE_GLOB = "*.{json,json.gz}"
 
 
 def landing_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,10 @@ from camadas.entities import OVERLAP_HOURS, WATERMARK
 from camadas.functions.extjson import wrapped
 
 
+# Lines of a landing file: a compressed one is read by one task.
+FILE_ROWS = 100_000
+
+
 def safe_component(text: str) -> str:
     """A path component: anything unusual becomes an underscore, nothing at all is an error."""
     cleaned = re.sub(r"[^A-Za-z0-9._-]+", "_", text.strip())
@@ -68,8 +72,10 @@ def batch_folder(root: str, database: str, collection: str, day: date, run_id: s
     )
 
 
-def write_batch(batch: DataFrame, entity: Entity, folder: str, field: str = WATERMARK) -> dict:
-    """Write a batch as JSON lines (one file per task) and report its size and newest row.
+def write_batch(
+    batch: DataFrame, entity: Entity, folder: str, field: str = WATERMARK, compression: str | None = None
+) -> dict:
+    """Write a batch as JSON lines (files of at most ``FILE_ROWS``) and report its size and newest row.
 
     Counting rides along with the write. A retried run replaces its own batch. An empty one leaves no file.
     """
@@ -77,7 +83,8 @@ def write_batch(batch: DataFrame, entity: Entity, folder: str, field: str = WATE
         return {"document_count": 0, "max_updated_at": None}
     seen = Observation()
     observed = batch.observe(seen, F.count(F.lit(1)).alias("n"), F.max(field).alias("newest"))
-    wrapped(observed, entity).write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
+    writer = wrapped(observed, entity).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
+    writer.option("ignoreNullFields", "false").json(folder, compression=compression)
     newest = seen.get["newest"]
     return {"document_count": seen.get["n"], "max_updated_at": as_utc(newest) if newest else None}
 
@@ -85,7 +92,7 @@ def write_batch(batch: DataFrame, entity: Entity, folder: str, field: str = WATE
 def extract(
     sources: Mapping[str, DataFrame], entities: Mapping[str, Entity], root: str, database: str,
     run_id: str, logical_date: datetime, checkpoints: Mapping[str, datetime | None],
-    overlap_hours: int = OVERLAP_HOURS, monotonic: bool = False,
+    overlap_hours: int = OVERLAP_HOURS, monotonic: bool = False, compression: str | None = None,
 ) -> tuple[list[dict], dict[str, datetime | None]]:
     """Extract every named source; returns the results and the checkpoints to store.
 
@@ -98,7 +105,7 @@ def extract(
         old = checkpoints.get(name)
         folder = batch_folder(root, database, name, as_utc(logical_date).date(), run_id)
         batch = changed_since(df, old, overlap_hours=overlap_hours)
-        found = write_batch(batch, entities[name], folder)
+        found = write_batch(batch, entities[name], folder, compression=compression)
         newest = found["max_updated_at"] or old
         advanced[name] = max(old, newest) if monotonic and old and newest else newest
         status = "written" if found["document_count"] else "no_changes"

@@ -17,6 +17,7 @@ from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.sources import bronze, landing
 from camadas.sources.state import Journal, KeyedState
 from camadas.streaming import merge
+from camadas.streaming.ingest import landing_stream
 from tests.conftest import plan, rows
 from workload.shop import Shop
 
@@ -179,6 +180,30 @@ def test_stream_dedup_passes_each_version_once_and_loses_nothing(spark, tmp_path
     assert to.state.read().count() == total
 
 
+def test_keys_of_a_group_are_told_apart_in_one_call(spark, tmp_path):
+    """Newer, older, equal and equal versions with other content, in three triggers of one group of keys."""
+    root, rule = str(tmp_path), ENTITIES["pedidos"]
+    base = Shop(spark, "/root/testdata/sf0.001")["pedidos"].filter("id_pedido <= 40")
+    second = base.filter("id_pedido % 4 > 0").withColumn("status", F.expr("if(id_pedido % 4 = 3, status, 'cancelado')")).withColumn(
+        WATERMARK, F.expr(f"{WATERMARK} + make_dt_interval(case id_pedido % 4 when 1 then 1 when 2 then -1 else 0 end)"))
+    third = base.filter("id_pedido % 4 = 0").withColumn("status", F.lit("cancelado"))
+    got, calls = [], []
+
+    def take(batch, number):
+        calls.append(number)
+        got.append(sorted(r[0] for r in batch.select("id_pedido").collect()))
+
+    ids = sorted(r[0] for r in base.select("id_pedido").collect())
+    for i, rows_ in enumerate((base, second, third)):
+        landing.write_batch(rows_, rule, landing.batch_folder(root, "shop", "pedidos", AT.date(), f"g{i}"), compression="gzip")
+        found = merge.unseen_versions(merge.valid_rows(landing_stream(spark, f"{root}/landing/shop/pedidos"), rule), rule, groups=2)
+        spark.conf.set(merge.EMPTY_BATCHES, "false")
+        found.writeStream.foreachBatch(take).option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination(120)
+        spark.conf.unset(merge.EMPTY_BATCHES)
+    changed = [i for i in ids if i % 4 == 0 and base.filter(f"id_pedido = {i} and status <> 'cancelado'").count()]
+    assert got == [ids, [i for i in ids if i % 4 == 1], changed]
+
+
 def versions_of(spark, keys, n):
     """n versions a key of ten days each, with a gap at every seventh."""
     made = spark.range(keys * n).selectExpr(f"id div {n} as k", f"id % {n} as i").filter("i % 7 <> 3")
