@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from camadas.contracts import Entity
 from camadas.functions.text import cell
+from camadas.sources.landing import FILE_ROWS
 
 _KINDS = {"integer": "int", "number": "float", "boolean": "bool", "date": "date"}
 
@@ -20,8 +21,14 @@ def read_typed(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     )
 
 
-def write(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header, one file per task, or one file in all where ``single_file`` asks for it."""
+def write(
+    df: DataFrame, path: str, single_file: bool = False, compression: str | None = None
+) -> None:
+    """CSV with a header, one file per task, or one file in all where ``single_file`` asks for it.
+
+    Files of many tasks hold at most ``FILE_ROWS`` rows, as a compressed one is read by one task.
+    """
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").csv(path, header=True)
+    rows = 0 if single_file else FILE_ROWS
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows).csv(path, header=True, compression=compression)
