@@ -155,3 +155,14 @@ def test_synthetic_distributions(spark):
     assert r.filter("nota not between 1 and 5 or comentario is null").count() == 0
     i = synthetic.order_items(ids, 100, 100)
     assert i.filter("subtotal > quantidade * valor_unitario or subtotal <= 0").count() == 0
+
+
+def test_compressed_landing_and_csv_files_are_read_like_plain_ones(spark, tmp_path):
+    rows, rule = shop_rows(spark, *range(1, 20)), ENTITIES["categorias"]
+    for form in (None, "gzip"):
+        folder = landing.batch_folder(str(tmp_path), "shop", rule.name, dt.date(2026, 6, 13), f"run-{form}")
+        assert landing.write_batch(rows, rule, folder, compression=form)["document_count"] == 19
+    assert bronze.scan(spark, str(tmp_path)).count() == 38 and bronze.landing_files(spark, str(tmp_path)).count() >= 2
+    csv_files.write(rows, f"{tmp_path}/c.csv", compression="gzip")
+    assert any(f.endswith(".csv.gz") for f in os.listdir(f"{tmp_path}/c.csv"))
+    assert csv_files.read_typed(spark, f"{tmp_path}/c.csv", rule).count() == 19

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from camadas import session
 from camadas.entities import ENTITIES, WATERMARK
 from camadas.functions.extjson import encode
 from camadas.operators import history, upsert
@@ -16,6 +17,7 @@ from camadas.plans.bronze import FileLedger, ingest, pending_lines
 from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.sources import bronze, landing
 from camadas.sources.state import Journal, KeyedState
+from camadas.sources.tables import FolderTable
 from camadas.streaming import merge
 from camadas.streaming.ingest import landing_stream
 from tests.conftest import plan, rows
@@ -204,6 +206,21 @@ def test_keys_of_a_group_are_told_apart_in_one_call(spark, tmp_path):
     assert got == [ids, [i for i in ids if i % 4 == 1], changed]
 
 
+def test_tables_are_replaced_from_themselves_without_a_copy(spark, tmp_path, monkeypatch):
+    copies = []
+    monkeypatch.setattr(session, "scratch_dir", lambda s, label: copies.append(label) or str(tmp_path / f"{label}{len(copies)}"))
+    state = KeyedState(spark, str(tmp_path / "state"), "k", buckets=4)
+    state.change(spark.range(100).selectExpr("id as k", "'a' as v"))
+    state.change(spark.range(10).selectExpr("id as k", "'b' as v"), spark.range(90, 100).selectExpr("id as k"))
+    assert {r.v: r.n for r in state.read().groupBy("v").agg(F.count("k").alias("n")).collect()} == {"a": 80, "b": 10}
+    state.change(spark.range(0).selectExpr("id as k", "'c' as v"), state.read().select("k"))
+    assert not [f for f in os.listdir(state.path) if f.startswith("_bucket")]
+    table = FolderTable(spark, str(tmp_path / "years"), "y")
+    table.rewrite(spark.range(30).selectExpr("id as k", "if(id % 3 = 0, null, cast(id % 3 as int)) as y"))
+    table.rewrite(table.read().filter("y = 2"), [1, 2, None])
+    assert table.read().count() == 10 and copies == []
+
+
 def versions_of(spark, keys, n):
     """n versions a key of ten days each, with a gap at every seventh."""
     made = spark.range(keys * n).selectExpr(f"id div {n} as k", f"id % {n} as i").filter("i % 7 <> 3")
