@@ -16,6 +16,7 @@ from camadas.plans import silver
 from camadas.plans.bronze import FileLedger, ingest, pending_lines
 from camadas.plans.increments import ParkedReferences, UniqueSilver
 from camadas.sources import bronze, landing
+from camadas.sources import state as state_module
 from camadas.sources.state import Journal, KeyedState
 from camadas.sources.tables import FolderTable
 from camadas.streaming import merge
@@ -221,6 +222,38 @@ def test_tables_are_replaced_from_themselves_without_a_copy(spark, tmp_path, mon
     assert table.read().count() == 10 and copies == []
 
 
+def test_more_rows_than_may_be_broadcast_go_in_lots_of_buckets(spark, tmp_path, monkeypatch):
+    for module in (state_module, upsert):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 30)
+    state, put = KeyedState(spark, str(tmp_path / "s"), "id", SHAPE, 8), []
+    monkeypatch.setattr(KeyedState, "_put", lambda self, *a, call=KeyedState._put: put.append(a[3]) or call(self, *a))
+    state.change(spark.range(100).selectExpr("id", "5L as v", "'a' as h"))
+    assert put == [100]
+    batch = spark.range(50, 150).selectExpr("id", "if(id % 2 = 0, 6L, 4L) as v", "'b' as h")
+    counts = upsert.merge_into(state, batch, "v", "h")
+    assert counts == {"inserted": 50, "updated": 25, "unchanged": 25, "rows_written": 75}
+    assert len(put) > 3 and sum(put[1:]) == 75 and max(put[1:]) <= 30
+    want = sorted((i, 6 if i >= 50 and i % 2 == 0 else 4 if i >= 100 else 5, "b" if i >= 100 or i >= 50 and i % 2 == 0 else "a")
+                  for i in range(150))
+    assert sorted(map(tuple, state.read().select("id", "v", "h").collect())) == want
+    frames = state.matching_lots(batch.select("id"), 100, "v")
+    assert len(frames) > 1 and sorted(r.id for f in frames for r in f.collect()) == list(range(50, 150))
+    assert all("BroadcastHashJoin" in plan(f) for f in frames)
+    state.change(batch.filter("id < 60"), spark.range(60, 140).select("id"))
+    assert sorted(r.id for r in state.read().collect()) == [*range(60), *range(140, 150)]
+
+
+@pytest.mark.parametrize("limit", [10**6, 1])
+def test_put_rows_changes_only_named_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", limit)
+    old = spark.sql("select * from values (1L, 1, 'a'), (2L, 1, 'b'), (3L, 1, 'c'), (4L, 1, 'd') as t(k, run, h)")
+    new = spark.sql("select * from values (2L, 2, 'b'), (3L, 2, 'x'), (5L, 2, 'e') as t(k, run, h)")
+    named = spark.sql("select * from values (2L), (3L), (4L), (5L), (6L) as t(k)")
+    got = upsert.put_rows(old, new, named, 5, "k", "h")
+    assert rows(got) == [(1, 1, "a"), (2, 1, "b"), (3, 2, "x"), (5, 2, "e")]
+    assert limit > 1 or "LeftAnti" not in plan(got)  # the target is moved once, not for each kind of row
+
+
 def versions_of(spark, keys, n):
     """n versions a key of ten days each, with a gap at every seventh."""
     made = spark.range(keys * n).selectExpr(f"id div {n} as k", f"id % {n} as i").filter("i % 7 <> 3")
