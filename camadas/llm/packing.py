@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict, deque
@@ -27,12 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from camadas.llm.common import parts
+from camadas.llm.common import byte_letters, parts
 from camadas.session import materialize
 
 LENGTH = 2048
 WORDS, CHARS = 300_000, 6_000_000
-STOPS = ".,;:!?"
+STOPS = ".,;:!?#$%&*+-/=@^_~()[]{}<>|\\\""
 LATIN_END = "Ā"
 
 
@@ -106,8 +107,8 @@ class Encoder:
 
     A vocabulary that drops white space never joins what stands on both sides of it, so a text's ids are
     those of its chunks between blanks, which are remembered in two generations: when the young one is full,
-    it becomes the old one, and chunks still in use move over. A chunk of Latin letters and a stop is the
-    word in small letters, then the stop. Other vocabularies get whole texts. One encoder lives as long as
+    it becomes the old one, and chunks still in use move over. A chunk of Latin letters and stops is the
+    word in small letters, then the stops. Other vocabularies get whole texts. One encoder lives as long as
     its worker.
     """
 
@@ -125,12 +126,25 @@ class Encoder:
         probes = ["a", "z", "river", "theses", "qqxzk"]
         self.bare = self.lowers and all(
             [x.id for x in self.tokenizer.model.tokenize(p)] == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)
+        spelled = {c: s for c, s in byte_letters(ord(LATIN_END)).items() if chr(c).isalpha() and chr(c).islower()}
+        self.spelled = {c: s for c, s in spelled.items() if self.bare and self._spelled("a" + chr(c) + "b", "a" + s + "b")}
+        self.words = re.compile("[" + "".join(map(chr, self.spelled)) + "]+") if self.spelled else re.compile("(?!)")
+        self.stops = "".join(s for s in STOPS if self._ends(s))
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     def _same(self, a: str, b: str) -> bool:
         return self.tokenizer.encode(a, add_special_tokens=False).ids == self.tokenizer.encode(b, add_special_tokens=False).ids
 
+    def _spelled(self, text: str, letters: str) -> bool:
+        return [x.id for x in self.tokenizer.model.tokenize(letters)] == self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _ends(self, stop: str) -> bool:
+        """Whether a run of the stop, and one with other stops, is cut off the word before it."""
+        whole, word, *runs = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in (
+            f"ab{stop}{stop}", "ab", stop + stop, f"ab{stop}.!", f"{stop}.!"))
+        return whole == word + runs[0] and runs[1] == word + runs[2]
+
     @classmethod
     def of(cls, path: str) -> Encoder:
         if path not in cls.kept:
@@ -138,16 +152,17 @@ class Encoder:
         return cls.kept[path]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """By the library; plain words go to its model directly, as nothing else of it would touch them."""
+        """By the library; words of small Latin letters go to its model directly, as the rest of it would only spell them."""
         if not self.bare:
             return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        plain, model = [t.isascii() and t.isalpha() and t.islower() for t in texts], self.tokenizer.model.tokenize
+        plain, model, spelled = list(map(self.words.fullmatch, texts)), self.tokenizer.model.tokenize, self.spelled
         rest = [t for t, p in zip(texts, plain) if not p]
         others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
-        return [array("I", [x.id for x in model(t)] if p else next(others).ids).tobytes() for t, p in zip(texts, plain)]
+        return [array("I", [x.id for x in model(t if t.isascii() else t.translate(spelled))] if p else next(others).ids).tobytes()
+                for t, p in zip(texts, plain)]
 
     def split(self, chunk: str) -> tuple[str, ...]:
-        core = chunk.rstrip(STOPS)
+        core = chunk.rstrip(self.stops)
         if not self.lowers or not core.isalpha() or max(core) >= LATIN_END:
             return (chunk,)
         return (core.lower(), chunk[len(core):]) if len(core) < len(chunk) else (core.lower(),)

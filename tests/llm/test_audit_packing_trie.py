@@ -244,3 +244,24 @@ def test_trie_of_nothing(spark):
     assert prefixes.prefix_trie(spark.createDataFrame([(None, 1, "a", "b")], SAID)).collect() == []
     only = spark.createDataFrame([(1, None, None, None)], SAID)
     assert sorted_rows(prefixes.prefix_trie(only)) == sorted(map(tuple, plain_trie([(1, None, None, None)])), key=str)
+
+
+def test_spelled_words_and_stops_are_the_librarys_ids_without_the_library():
+    encoder, asked = packing.Encoder(WORD_BPE), []
+    texts = ["çéüxñ&&& Oianè### straße*** river.", "ª º µ ÿ Ÿ İ ſ ﬁ", "foo''s bar's don't a.'s b!'s", "x<|endoftext|>y a.1 1,2 a\\\\ [[b]]",
+             "é́é ab́&&& a\x1fb"]
+    for text in texts:
+        want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        assert next(iter(encoder(pa.array([text])))).tolist() == want.tolist(), text
+
+    class Watched:
+        model = encoder.tokenizer.model
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return kept.encode_batch_fast(texts, **options)
+
+    kept, encoder.tokenizer = encoder.tokenizer, Watched()
+    encoder.young, encoder.old = {"": b""}, {}
+    list(encoder(pa.array([texts[0]])))
+    assert set(asked) <= {"&&&", "###", "***", "."}
