@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from camadas.llm.common import byte_letters
 from camadas.session import materialize, scratch_dir
 
 LENGTH, ROWS = 1024, 512
-CHUNKS, PIECES = 150_000, 700_000
+CHUNKS, PIECES = 400_000, 700_000
+STOPS = ".,;:!?#$%&*+-/=@^_~()[]{}<>|\\\"'"
 LATIN_END = "\u0250"
 # Fixed value: the public vocabulary's own cut into pre-tokens.
 PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -32,6 +35,16 @@ PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 UNSAFE = re.compile(r" \s| $")
 
 
+def pre_tokens(chunk: str) -> list[str]:
+    """The cut of a chunk up to Latin letters, others stay whole; a word and the stops after it need no pattern."""
+    if not chunk.isascii() and max(chunk) >= LATIN_END:
+        return [chunk]
+    core = chunk.rstrip(STOPS)
+    if core[core[:1] == " ":].isalpha():
+        return [core, chunk[len(core):]] if len(core) < len(chunk) else [core]
+    return PRE_TOKEN.findall(chunk)
+
+
 class Encoder:
     """Ids of whole texts with the tokenizers library, remembering the chunks and pieces it has seen.
 
@@ -54,6 +67,11 @@ class Encoder:
         unseen = self.tokenizer.normalizer is not None and any(t.normalized for t in added)
         self.dtype, self.chunked = dtype, chunked and not unseen
         self.added = re.compile("|".join(re.escape(t.content) for t in added if t.content) or r"(?!)")
+        # Without a normaliser a pre-token is only spelled in letters for bytes before the model sees it.
+        spelled = byte_letters(ord(LATIN_END)) if self.chunked and self.tokenizer.normalizer is None else {}
+        alone = zip(spelled, self.whole(list(map(chr, spelled)))) if spelled else ()
+        self.spelled = {c: spelled[c] for c, ids in alone if self.direct(spelled[c]) == ids}
+        self.plain = re.compile("[" + "".join(re.escape(chr(c)) for c in self.spelled) + "]+") if self.spelled else re.compile("(?!)")
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -70,14 +88,24 @@ class Encoder:
             out += [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
         return out
 
+    def direct(self, letters: str) -> bytes:
+        """Ids of one pre-token, as byte-level vocabularies spell it."""
+        return array("H" if self.dtype == "<u2" else "I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pre-tokens: by the model alone where that is all the library would do, else by the library."""
+        plain, spelled = list(map(self.plain.fullmatch, pieces)), self.spelled
+        others = iter(self.whole([p for p, known in zip(pieces, plain) if not known]))
+        return [self.direct(p.translate(spelled)) if known else next(others) for p, known in zip(pieces, plain)]
+
     def learn(self, chunks: list[str]) -> None:
         if len(self.chunks) > CHUNKS:
             self.chunks.clear()
         if len(self.pieces) > PIECES:
             self.pieces.clear()
-        cut = {c: PRE_TOKEN.findall(c) if max(c) < LATIN_END else [c] for c in set(chunks).difference(self.chunks)}
+        cut = {c: pre_tokens(c) for c in set(chunks).difference(self.chunks)}
         new = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
-        self.pieces.update(zip(new, self.whole(new)))
+        self.pieces.update(zip(new, self.encode(new)))
         for c, ps in cut.items():
             self.chunks[c] = self.pieces[ps[0]] if len(ps) == 1 else b"".join(map(self.pieces.__getitem__, ps))
 

@@ -386,3 +386,19 @@ def test_pipeline_stage_by_stage(spark):
     words = sum(size[i] * n for i, n in copies.items())
     assert set(copies) <= set(size) and max(copies.values()) <= 2 and abs(words - 1.5 * sum(size.values())) < 0.2 * sum(size.values())
     assert sorted(r.doc_id for r in docs["tokens"]) == sorted(copies.elements())
+
+
+def test_pre_tokens_are_the_librarys_ids_without_the_library():
+    encoder, asked = tokens.Encoder(queries.BYTE_BPE, "<u2", True, False), []
+    texts = ["Oianè### straße's çéüx 12 ª­\tx\n\n y", "naïve don't x ﬁ é́ x\x1fy", "日本語 ɐbc Ёж 𝒳", "", "a\x00b \x7f"]
+    for text in texts:
+        want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+        assert next(iter(encoder([text]))) == want, text
+    whole = encoder.whole
+    encoder.whole = lambda pieces: asked.extend(pieces) or whole(pieces)
+    encoder.chunks.clear()
+    encoder.pieces.clear()
+    list(encoder(["Oianè### straße's çéüx 12"]))
+    assert asked == []
+    for chunk in (" ab's!", "foo''s", "é²x..", " ª##", "_a_", " ", "\t", "1.,"):
+        assert tokens.pre_tokens(chunk) == tokens.PRE_TOKEN.findall(chunk)
