@@ -96,12 +96,16 @@ def shape(document: Column, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(document, f"$.{name}", "variant"))
 
 
+def number_wrappers(field: Field) -> tuple[str, ...]:
+    """Whole numbers have no fractional form."""
+    return NUMBER_WRAPPERS if field.wire == "number" else NUMBER_WRAPPERS[:2]
+
+
 def allowed_shapes(field: Field) -> list[str]:
     if field.wire == "date":
         shapes = [f"OBJECT<`{DATE_WRAPPER}`: OBJECT<`{DATE_MILLIS}`: STRING>>"]
     elif field.wire in ("integer", "number"):
-        kinds = NUMBER_WRAPPERS if field.wire == "number" else NUMBER_WRAPPERS[:2]
-        shapes = [f"OBJECT<`{w}`: STRING>" for w in kinds]
+        shapes = [f"OBJECT<`{w}`: STRING>" for w in number_wrappers(field)]
     else:
         shapes = [field.wire.upper()]
     return shapes if field.required else [*shapes, "VOID"]

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from camadas.entities import ENTITIES
 from camadas.functions.extjson import decode, encode
 from camadas.functions.keys import day_key
 from camadas.operators import quality
+from workload.queries import QUERIES
+from workload.shop import Shop
 
 DOCUMENT = (
     '{"_id":{"$oid":"5f0c3a9b7d1e4a6688c2d4e7"},"id_pedido":{"$numberInt":"31"},'
@@ -89,3 +92,57 @@ def test_document_contract(spark):
     assert {(r.rule, r.broken) for r in report} == {
         ("id_cliente:type", 1), ("status:domain", 1), ("status:required", 1),
     }
+
+
+def test_plain_documents_are_not_parsed_and_break_no_rule(spark):
+    """Every spelling is judged as by parsing it; documents that need no parsing are recognised by their text."""
+    plain = DOCUMENT.replace("  ENTREGUE ", "entregue")
+    payment = (
+        '{"id_pagamento":{"$numberInt":"1"},"id_pedido":{"$numberLong":"1"},"forma_pagamento":"pix",'
+        '"status_pagamento":"aprovado","valor":{"$numberDouble":"1.50"},"data_pagamento":{"$date":{"$numberLong":"0"}},'
+        '"parcelas":{"$numberLong":"12"},"updated_at":{"$date":{"$numberLong":"0"}}}'
+    )
+    spelled = [
+        (lambda d: d), (lambda d: d + "\n"), (lambda d: " " + d), (lambda d: d + d), (lambda d: d[:-1]), (lambda d: f"[{d}]"),
+        (lambda d: d[:-1] + ',"more":1}'), (lambda d: d[:-1] + "," + d[1:]), (lambda d: d.replace(":", " : ")),
+        (lambda d: d.replace('"12"', '"13"')), (lambda d: d.replace('"12"', '"12.0"')), (lambda d: d.replace('"12"', '"x"')),
+        (lambda d: d.replace('"pix"', '"p\\u0069x"')), (lambda d: d.replace('"pix"', "null")), (lambda d: d.replace('"1.50"', "1.50")),
+        (lambda d: d.replace("$numberLong", "$numberDouble")), (lambda d: d.replace('"0"', '"\x01"')), (lambda d: d.replace('"0"', '"\\q"')),
+        (lambda d: d.replace('"0"', '"' + "9" * 10_001 + '"')), (lambda d: None), (lambda d: ""), (lambda d: "null"),
+    ]
+    for name, document in (("pedidos", plain), ("pagamentos", payment)):
+        entity = ENTITIES[name]
+        raw = spark.createDataFrame([(i, change(document)) for i, change in enumerate(spelled)], "i int, raw_document string")
+        parsed = raw.select(F.try_parse_json("raw_document").alias("_doc"))
+        expected = quality.violation_counts(parsed, quality.document_checks(entity, F.col("_doc")))
+        assert quality.document_report(raw, entity).collect() == expected.collect()
+        known = raw.filter(F.col("raw_document").rlike(quality.plain_document(entity)))
+        assert known.filter("i = 0").count() == 1
+        clean = quality.violation_counts(
+            known.select(F.try_parse_json("raw_document").alias("_doc")), quality.document_checks(entity, F.col("_doc")))
+        assert clean.filter("broken > 0").count() == 0
+
+
+def test_plain_documents_of_every_contract_are_recognised(spark):
+    """Lengths count characters; a null is plain only where the contract lets a field be null."""
+    shop = Shop(spark, "/root/testdata/sf0.001")
+    for name, entity in ENTITIES.items():
+        raw = encode(shop[name], entity)
+        assert raw.filter(~F.col("raw_document").rlike(quality.plain_document(entity))).count() == 0, name
+    supplier = encode(shop["fornecedores"].limit(1), ENTITIES["fornecedores"]).first()[0]
+    state = supplier[supplier.index('"estado":"') + 10:][:2]
+    texts = [supplier.replace(f'"estado":"{state}"', f'"estado":{s}') for s in ('"\U0001F600\u00e9"', '"ABC"', '"A"', "null")]
+    raw = spark.createDataFrame([(t,) for t in texts], "raw_document string")
+    assert [r[0] for r in raw.select(F.col("raw_document").rlike(quality.plain_document(ENTITIES["fornecedores"]))).collect()] == [
+        True, False, False, False]
+    broken = {r.rule: r.broken for r in quality.document_report(raw, ENTITIES["fornecedores"]).collect() if r.broken}
+    assert broken == {"estado:length": 2, "estado:type": 1}
+
+
+def test_contract_report_writes_no_documents(spark):
+    """Documents are read once, by the report; nothing is staged for it."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    report = QUERIES["schema_contract_report"](spark, "/root/testdata/sf0.001")
+    assert report.filter("checked = 0").count() == 0
+    assert set(os.listdir(shared)) == before
