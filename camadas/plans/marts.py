@@ -55,11 +55,12 @@ def flat_sales(t: Tables, columns: Sequence[str] | None = None) -> DataFrame:
 
     Everything that belongs to the order (customer, coupon, first payment, first delivery) is joined
     while the data has order grain, and payments, deliveries and items all meet it on the order id,
-    so they share one partitioning. Only the product join then moves item rows, and not even that
-    when products fit Spark's broadcast threshold. The looked-up sides hold one row per key, so a
-    side none of whose columns is asked for is not joined at all.
+    so they share one partitioning. Item rows move for the product as well. For the whole table they
+    meet the product first: its three texts go through the second shuffle, not the order's eleven
+    columns. Named columns mostly come with a filter on orders, so there the order comes first. The
+    looked-up sides hold one row per key, so a side none of whose columns is asked for is not joined.
     """
-    columns = list(columns or FLAT_SALES)
+    whole, columns = not columns, list(columns or FLAT_SALES)
 
     def wants(*names: str) -> bool:
         return any(n in columns for n in names)
@@ -83,15 +84,18 @@ def flat_sales(t: Tables, columns: Sequence[str] | None = None) -> DataFrame:
             "data_entrega_real",
         )
         orders = orders.join(delivery, "id_pedido", "left")
-    flat = t["itens_pedido"].join(orders, "id_pedido")
-    if wants("produto", "marca", "categoria"):
-        product = t["produtos"].selectExpr(
-            "id_produto", "nome_produto as produto", "marca", "id_categoria"
-        )
+    items = t["itens_pedido"]
+    if not wants("produto", "marca", "categoria"):
+        flat = items.join(orders, "id_pedido")
+    else:
+        product = t["produtos"].selectExpr("id_produto", "nome_produto as produto", "marca", "id_categoria")
         if wants("categoria"):
             category = t["categorias"].selectExpr("id_categoria", "nome_categoria as categoria")
             product = product.join(category, "id_categoria", "left")
-        flat = flat.join(product, "id_produto", "left")
+        if whole:
+            flat = items.join(product, "id_produto", "left").join(orders, "id_pedido")
+        else:
+            flat = items.join(orders, "id_pedido").join(product, "id_produto", "left")
     return flat.selectExpr(*(f"{FLAT_SALES[c]} as {c}" for c in columns))
 
 

@@ -7,7 +7,9 @@ from camadas.contracts import Entity, Field, Reference, Unique
 from camadas.functions.keys import dedup_key
 from camadas.operators import audit, quality
 from camadas.operators.dedup import first_per_key, newest_first
+from camadas.plans import marts
 from tests.conftest import plan, rows
+from workload.shop import Shop
 
 T0, T1, T2 = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
 ITEM = Entity(
@@ -132,3 +134,19 @@ def test_empty_input(spark):
     )
     assert judged.count() == 0
     assert audit.account(frame(spark), judged, "item").first().records_valid == 0
+
+
+def test_whole_flat_table_moves_item_rows_with_the_product_only(spark):
+    """What goes through the second shuffle of items are the product's three texts, not the order's columns."""
+    shop = Shop(spark, "/root/testdata/sf0.001")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flat = marts.flat_sales(shop)
+        moved = [line for line in flat._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+        assert "Inner" in moved[0] and "(id_pedido#" in moved[0] and "(id_produto#" in moved[1], moved
+        assert flat.count() == shop["itens_pedido"].count()
+        named = marts.flat_sales(shop, ["id_item", "produto", "cliente", "status_entrega"])
+        assert rows(named) == rows(flat, *named.columns)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
