@@ -35,6 +35,7 @@ LENGTH = 2048
 WORDS, CHARS = 300_000, 6_000_000
 STOPS = ".,;:!?#$%&*+-/=@^_~()[]{}<>|\\\""
 LATIN_END = "Ā"
+LATIN_WORD = r"\A[A-Za-zªµºÀ-ÖØ-öø-ÿ]+\z"
 
 
 class Placement(NamedTuple):
@@ -106,9 +107,9 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, as little-endian 32-bit integers.
 
     A vocabulary that drops white space never joins what stands on both sides of it, so a text's ids are
-    those of its chunks between blanks, which are remembered in two generations: when the young one is full,
-    it becomes the old one, and chunks still in use move over. A chunk of Latin letters and stops is the
-    word in small letters, then the stops. Other vocabularies get whole texts. One encoder lives as long as
+    those of its chunks between blanks. A chunk of Latin letters and stops is the word in small letters, then
+    the stops; Arrow cuts the different chunks so. Their pieces are remembered in two generations: when the
+    young one is full, it becomes the old one, and pieces still in use move over. Other vocabularies get whole texts. One encoder lives as long as
     its worker.
     """
 
@@ -161,31 +162,27 @@ class Encoder:
         return [array("I", [x.id for x in model(t if t.isascii() else t.translate(spelled))] if p else next(others).ids).tobytes()
                 for t, p in zip(texts, plain)]
 
-    def split(self, chunk: str) -> tuple[str, ...]:
-        core = chunk.rstrip(self.stops)
-        if not self.lowers or not core.isalpha() or max(core) >= LATIN_END:
-            return (chunk,)
-        return (core.lower(), chunk[len(core):]) if len(core) < len(chunk) else (core.lower(),)
-
-    def learn(self, chunks: list[str], split: bool = True) -> list[bytes]:
-        """Ids of different chunks, from memory or from the library."""
-        ids = list(map(self.young.get, chunks))
+    def cut(self, chunks: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+        """The word in small letters and the stops after it; a chunk that is no such word stays whole."""
+        if not self.lowers:
+            return chunks, pa.array([""] * len(chunks), chunks.type)
+        core = pc.utf8_rtrim(chunks, self.stops) if self.stops else chunks
+        word = pc.match_substring_regex(core, LATIN_WORD)
+        stops = pc.struct_field(pc.extract_regex(chunks, f"(?s)(?P<stops>[{re.escape(self.stops)}]*)\\z"), "stops") if self.stops else ""
+        return pc.if_else(word, pc.utf8_lower(core), chunks), pc.if_else(word, stops, "")
+
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces, from memory or from the library."""
+        ids = list(map(self.young.get, pieces))
         unknown = [i for i, found in enumerate(ids) if found is None]
         missing = []
         for i in unknown:
-            ids[i] = self.old.get(chunks[i])
+            ids[i] = self.old.get(pieces[i])
             if ids[i] is None:
                 missing.append(i)
-        if split:
-            cut = [self.split(chunks[i]) for i in missing]
-            pieces = list({p for ps in cut for p in ps})
-            known = dict(zip(pieces, self.learn(pieces, False)))
-            made = [known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for ps in cut]
-        else:
-            made = self.encode([chunks[i] for i in missing])
-        for i, found in zip(missing, made):
+        for i, found in zip(missing, self.encode([pieces[i] for i in missing])):
             ids[i] = found
-        self.young.update((chunks[i], ids[i]) for i in unknown)
+        self.young.update((pieces[i], ids[i]) for i in unknown)
         return ids
 
     def __call__(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
@@ -199,11 +196,14 @@ class Encoder:
             texts = pc.replace_substring(texts, blank, " ")
         cut = pc.split_pattern(texts, " ")
         chunks = cut.flatten().dictionary_encode()
-        ids = self.learn(chunks.dictionary.to_pylist())
+        pieces = pa.concat_arrays(self.cut(chunks.dictionary)).dictionary_encode()
+        ids = self.learn(pieces.dictionary.to_pylist())
         starts = np.zeros(len(ids) + 1, dtype=np.int32)
         np.cumsum([len(i) // 4 for i in ids], out=starts[1:])
         known = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
-        joined = known.take(chunks.indices)
+        word, stops = pieces.indices.to_numpy().reshape(2, -1)
+        spelled = known.take(pa.array(np.stack([word, stops], axis=1).ravel()))
+        joined = pa.ListArray.from_arrays(spelled.offsets[::2], spelled.values).take(chunks.indices)
         ends = joined.offsets.to_numpy()[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         values = joined.values.to_numpy()
         yield from (values[low:high] for low, high in zip(ends[:-1], ends[1:]))

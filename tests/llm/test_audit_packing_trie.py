@@ -265,3 +265,14 @@ def test_spelled_words_and_stops_are_the_librarys_ids_without_the_library():
     encoder.young, encoder.old = {"": b""}, {}
     list(encoder(pa.array([texts[0]])))
     assert set(asked) <= {"&&&", "###", "***", "."}
+
+
+def test_chunks_are_cut_in_arrow_as_by_their_characters():
+    encoder, rng = packing.Encoder(WORD_BPE), random.Random(3)
+    letters = ["a", "Z", "é", "É", "ß", "ÿ", "ª", "µ", "Ā", "İ", "1", "_", ".", ",", "!", "]", "-", "\\", "'", "\n", "\x85", "中", "😀"]
+    chunks = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(0, 5))) for _ in range(5000)})
+    words, stops = (x.to_pylist() for x in encoder.cut(pa.array(chunks)))
+    for chunk, word, stop in zip(chunks, words, stops):
+        core = chunk.rstrip(encoder.stops)
+        plain = core.isalpha() and max(core) < packing.LATIN_END
+        assert (word, stop) == ((core.lower(), chunk[len(core):]) if plain else (chunk, "")), chunk
