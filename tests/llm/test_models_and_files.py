@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from camadas.llm import language, mixing, quality, queries, tokens, topk, toxicity
+from camadas.llm import common, language, mixing, quality, queries, tokens, topk, toxicity
 from camadas.llm.common import fold, isotonic
 from camadas.llm.oracles import ORACLES
 from tests.llm.support import SF, frame, odd_rows, prose
@@ -46,6 +46,24 @@ def test_classifiers_without_labels_or_rows(spark):
     assert toxicity.score_toxicity(frame(spark, []), toxic, F.lit(False)).count() == 0
 
 
+def test_sums_reach_the_driver_once(spark, monkeypatch):
+    """One vector, whatever the number of tasks that add to it; its length is no multiple of a slice."""
+    size, got, kind = 2 * common.SLICE + 5, [], type(spark.range(0))
+    collect = kind.collect
+
+    def seen(df):
+        rows = collect(df)
+        got.extend(len(r.blob) for r in rows)
+        return rows
+
+    monkeypatch.setattr(kind, "collect", seen)
+    rows = spark.range(24).repartition(6)
+    total = common.partial_sums(rows, lambda frame: np.arange(size) * float(frame["id"].sum()))
+    assert np.array_equal(total, np.arange(size) * 276.0)
+    assert sum(got) == 8 * size
+    assert common.partial_sums(rows.where("id < 0"), lambda frame: np.ones(3)) is None
+
+
 def test_isotonic_pools_violators():
     xs, ys = isotonic([(0, 10, 1), (1, 10, 6), (2, 10, 2), (3, 10, 9)])
     assert list(xs) == [0, 0, 1, 2, 3, 3] and (np.diff(ys) >= 0).all()

@@ -1,7 +1,9 @@
 """Near-duplicates, repeated substrings, boilerplate lines and leaks against plain versions."""
 
 import hashlib
+import pickle
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -296,3 +298,29 @@ def test_leaks_with_the_benchmark_in_blocks(spark, monkeypatch):
     docs = [(k, f"{prose(k, 40)} {items[k][1]} {prose(k, 40)}") for k in range(8)]
     found = decontaminate.find_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in found} >= {(k, k) for k in range(8)}
+
+
+def test_driver_holds_no_matrix_of_items_by_features():
+    """Pieces of 400 items are 1,200 rows of 8192 numbers, 79 MB a copy; tasks make the words' counts themselves."""
+    rng = np.random.default_rng(3)
+    seen, sketch = rng.integers(0, 900, decontaminate.FEATURES), rng.normal(size=(64, decontaminate.FEATURES))
+    items = [decontaminate.as_item(k, prose(k, 70)) for k in range(400)]
+    tracemalloc.start()
+    try:
+        index = decontaminate.Index(items, 1e5, seen, sketch)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    assert len(pickle.dumps(index)) < 6e6
+    assert index.counts.sum() == index.sizes.sum()
+
+
+def test_latent_basis_is_that_of_the_whole_matrix():
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(70, decontaminate.FEATURES)) * np.geomspace(1, 1e-3, 70)[:, None]
+    strength, basis = decontaminate.latent_basis(lambda: (a[at:at + 32] for at in range(0, 70, 32)), 20)
+    _, whole, vectors = np.linalg.svd(a, full_matrices=False)
+    assert np.allclose(strength, whole[:20], rtol=1e-9)
+    assert np.allclose(np.abs((basis * vectors[:20]).sum(axis=1)), 1, atol=1e-6)
+    none, empty = decontaminate.latent_basis(lambda: iter([np.zeros((2, decontaminate.FEATURES))]), 20)
+    assert not len(none) and empty.shape == (0, decontaminate.FEATURES)
